@@ -295,3 +295,7 @@ def q_country_metrics(spark, sf_dir):
 def q_gold_business_metrics(spark, sf_dir):
     layers = L(spark, sf_dir)
     return GM.gold_business_metrics(layers.silver_tx, layers.silver_cust, layers.cfg).drop("processed_at")
+
+
+# Further registries add themselves to QUERIES / ORACLES on import.
+from . import catalog_quality  # noqa: E402,F401
