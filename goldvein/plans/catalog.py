@@ -300,3 +300,4 @@ def q_gold_business_metrics(spark, sf_dir):
 # Further registries add themselves to QUERIES / ORACLES on import.
 from . import catalog_quality  # noqa: E402,F401
 from . import catalog_streaming  # noqa: E402,F401
+from . import catalog_products  # noqa: E402,F401
