@@ -4,122 +4,133 @@ The reference fills bronze from random event generators; we derive the four
 event streams deterministically from ``events``, ``orders``, ``lineitem``,
 ``customer``, ``part`` and ``nation`` so that every rule branch is exercised
 (NULL ids, outliers, exact-threshold scores, repeated event ids, inactive
-customers). The mapping follows FIXTURES.md §3 and is written with DataFrame
-expressions; an independent SQL text of the same mapping is the oracle.
+customers). The mapping is FIXTURES.md §3 (given as SQL that runs unchanged in Spark and
+DuckDB); the oracle queries use the same text as leading CTEs, so the mapping
+is an input definition, and everything after it is checked independently.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import BRONZE_SCHEMAS
 
 
-class Bronze(NamedTuple):
-    customer_events: DataFrame
-    transaction_events: DataFrame
-    product_events: DataFrame
-    system_logs: DataFrame
-
-    def by_table(self) -> dict[str, DataFrame]:
-        return {
-            "bronze_customer_events": self.customer_events,
-            "bronze_transaction_events": self.transaction_events,
-            "bronze_product_events": self.product_events,
-            "bronze_system_logs": self.system_logs,
-        }
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def _prefixed(prefix: str, c: Column | str) -> Column:
-    return F.concat(F.lit(prefix), _s(c))
-
-
-def _days(n: int) -> Column:
-    return F.make_dt_interval(days=F.lit(n))
-
-
 # Offset that moves the 1995-2001 order dates into 2017-2024.
 DATE_SHIFT_DAYS = 8216
 
+# The FIXTURES.md §3 mapping, one Spark SQL expression per bronze column (each
+# string is parsed once in the JVM; building the same columns call by call
+# costs thousands of driver round trips per plan).
+CUSTOMER_EVENT_COLUMNS = {
+    "event_id": "'ce_' || CAST(event_id AS STRING)",
+    "event_type": "'customer_event'",
+    "timestamp": "CAST(CASE WHEN user_id % 5 = 4 THEN ts - INTERVAL '60' DAY ELSE ts END AS STRING)",
+    "customer_id": "CASE WHEN event_id % 211 = 0 THEN NULL ELSE 'cust_' || CAST(user_id AS STRING) END",
+    "action": "event_type",
+    "email": "CASE WHEN event_id % 199 = 0 THEN NULL WHEN user_id % 29 = 7 THEN 'user' || CAST(user_id AS STRING)"
+             " ELSE 'user' || CAST(user_id AS STRING) || '@example.com' END",
+    "country": "n_name",
+    "device_type": "CASE WHEN user_id % 2 = 0 THEN 'mobile' WHEN event_id % 2 = 0 THEN 'desktop' ELSE 'tablet' END",
+    "session_id": "'sess_' || CAST(event_id % 5000 AS STRING)",
+    "ip_address": "'sess_ip_' || CAST(user_id AS STRING)",
+    "user_agent": "'agent'",
+    "kinesis_sequence_number": "CAST(event_id AS STRING)",
+    "kinesis_partition_key": "'cust_' || CAST(user_id AS STRING)",
+    "processed_at": "CAST(CASE WHEN user_id % 5 = 4 THEN ts - INTERVAL '60' DAY ELSE ts END AS STRING)",
+}
+
+TRANSACTION_EVENT_COLUMNS = {
+    "event_id": "'te_' || CAST(o_orderkey AS STRING)",
+    "event_type": "'transaction_event'",
+    "timestamp": f"CAST(o_orderdate + INTERVAL '{DATE_SHIFT_DAYS}' DAY"
+                 " + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS STRING)",
+    "transaction_id": "'txn_' || CAST(o_orderkey AS STRING)",
+    "customer_id": "CASE WHEN o_orderkey % 983 = 0 THEN NULL"
+                   " WHEN o_orderkey % 3 = 0 THEN 'cust_' || CAST(o_custkey % 10 AS STRING)"
+                   " WHEN o_orderkey % 3 = 1 THEN 'cust_' || CAST(o_custkey % 100 AS STRING)"
+                   " ELSE 'cust_' || CAST(o_custkey AS STRING) END",
+    "amount": "CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice WHEN o_orderkey % 991 = 0 THEN 0.0D"
+              " WHEN o_custkey % 7 = 3 THEN FLOOR(o_totalprice / 100) / 100 ELSE FLOOR(o_totalprice) / 100 END",
+    "currency": "CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'BRL' ELSE 'GBP' END",
+    "status": "CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'P' THEN 'failed'"
+              " WHEN o_orderkey % 2 = 0 THEN 'pending' ELSE 'cancelled' END",
+    "payment_method": "CASE (o_orderkey * 31 + o_custkey) % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card'"
+                      " WHEN 2 THEN 'paypal' ELSE 'bank_transfer' END",
+    "merchant_id": "'merchant_' || CAST(o_orderkey % 900 + 100 AS STRING)",
+    "category": "CASE o_orderpriority WHEN '1-URGENT' THEN 'electronics' WHEN '2-HIGH' THEN 'clothing'"
+                " WHEN '3-MEDIUM' THEN 'food' WHEN '5-LOW' THEN 'books' ELSE 'travel' END",
+    "fraud_score": "CASE WHEN o_custkey % 13 = 5 THEN CAST(850 + o_orderkey % 151 AS DOUBLE) / 1000"
+                   " WHEN o_custkey % 11 = 2 THEN CAST(o_orderkey % 51 AS DOUBLE) / 1000"
+                   " ELSE CAST((o_orderkey * 7919) % 1001 AS DOUBLE) / 1000 END",
+    "kinesis_sequence_number": "CAST(o_orderkey AS STRING)",
+    "kinesis_partition_key": "'cust_' || CAST(o_custkey AS STRING)",
+    "processed_at": f"CAST(o_orderdate + INTERVAL '{DATE_SHIFT_DAYS}' DAY AS STRING)",
+}
+
+PRODUCT_EVENT_COLUMNS = {
+    "event_id": "'pe_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING)",
+    "event_type": "'product_event'",
+    "timestamp": f"CAST(l_shipdate + INTERVAL '{DATE_SHIFT_DAYS}' DAY AS STRING)",
+    "product_id": "'prod_' || CAST(l_partkey AS STRING)",
+    "customer_id": "'cust_' || CAST(o_custkey AS STRING)",
+    "action": "CASE l_returnflag WHEN 'N' THEN 'purchase' WHEN 'R' THEN 'review' ELSE CASE l_linenumber % 3"
+              " WHEN 0 THEN 'view' WHEN 1 THEN 'add_to_cart' ELSE 'remove_from_cart' END END",
+    "category": "p_type",
+    "price": "l_extendedprice / l_quantity",
+    "quantity": "CAST(l_quantity AS BIGINT)",
+    "rating": "CASE WHEN l_returnflag = 'R' AND o_custkey % 5 <> 0 THEN CAST(l_partkey % 5 + 1 AS DOUBLE) END",
+    "session_id": "'sess_' || CAST(l_orderkey % 5000 AS STRING)",
+    "kinesis_sequence_number": "CAST(l_orderkey AS STRING)",
+    "kinesis_partition_key": "'cust_' || CAST(o_custkey AS STRING)",
+    "processed_at": f"CAST(l_shipdate + INTERVAL '{DATE_SHIFT_DAYS}' DAY AS STRING)",
+}
+
+SYSTEM_LOG_COLUMNS = {
+    "event_id": "'sl_' || CAST(event_id AS STRING)",
+    "event_type": "'system_log'",
+    "timestamp": "CAST(ts AS STRING)",
+    "service": "CASE event_id % 4 WHEN 0 THEN 'api-gateway' WHEN 1 THEN 'user-service'"
+               " WHEN 2 THEN 'payment-service' ELSE 'inventory-service' END",
+    "level": "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'DEBUG' WHEN 'click' THEN 'WARN'"
+             " ELSE 'INFO' END",
+    "message": "'message ' || CAST(event_id AS STRING)",
+    "request_id": "'req_' || CAST(event_id AS STRING)",
+    "response_time_ms": "CAST(FLOOR(value * 10) AS BIGINT) + 10",
+    "status_code": "CASE WHEN event_type = 'error' THEN CAST(500 AS BIGINT) ELSE CAST(200 AS BIGINT) END",
+    "endpoint": "'/api/v1/' || event_type",
+    "user_id": "CASE WHEN event_id % 10 < 3 THEN NULL ELSE 'user_' || CAST(user_id AS STRING) END",
+    "kinesis_sequence_number": "CAST(event_id AS STRING)",
+    "kinesis_partition_key": "'sl_' || CAST(event_id AS STRING)",
+    "processed_at": "CAST(ts AS STRING)",
+}
+
+
+def _project(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    """Apply the column expressions and the declared bronze types in one projection."""
+    schema = BRONZE_SCHEMAS[table]
+    return df.selectExpr(*[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+                           for f in schema.fields])
+
 
 def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = e.join(c, e.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-    eid, uid = F.col("event_id"), F.col("user_id")
-    shifted = _s(F.when(uid % 5 == 4, F.col("ts") - _days(60)).otherwise(F.col("ts")))
-    out = j.select(
-        _prefixed("ce_", eid).alias("event_id"),
-        F.lit("customer_event").alias("event_type"),
-        shifted.alias("timestamp"),
-        F.when(eid % 211 == 0, F.lit(None).cast("string"))
-         .otherwise(_prefixed("cust_", uid)).alias("customer_id"),
-        F.col("event_type").alias("action"),
-        F.when(eid % 199 == 0, F.lit(None).cast("string"))
-         .when(uid % 29 == 7, _prefixed("user", uid))
-         .otherwise(F.concat(F.lit("user"), _s(uid), F.lit("@example.com"))).alias("email"),
-        F.col("n_name").alias("country"),
-        F.when(uid % 2 == 0, "mobile").when(eid % 2 == 0, "desktop").otherwise("tablet").alias("device_type"),
-        _prefixed("sess_", eid % 5000).alias("session_id"),
-        _prefixed("sess_ip_", uid).alias("ip_address"),
-        F.lit("agent").alias("user_agent"),
-        _s(eid).alias("kinesis_sequence_number"),
-        _prefixed("cust_", uid).alias("kinesis_partition_key"),
-        shifted.alias("processed_at"),
-    )
-    return out
+    return _project(j, "bronze_customer_events", CUSTOMER_EVENT_COLUMNS)
 
 
 def transaction_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k, ck, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
-    shifted_date = F.col("o_orderdate") + _days(DATE_SHIFT_DAYS)
-    ts = shifted_date + F.make_dt_interval(hours=(k % 24).cast("int"))
-    return o.select(
-        _prefixed("te_", k).alias("event_id"),
-        F.lit("transaction_event").alias("event_type"),
-        _s(ts).alias("timestamp"),
-        _prefixed("txn_", k).alias("transaction_id"),
-        F.when(k % 983 == 0, F.lit(None).cast("string"))
-         .when(k % 3 == 0, _prefixed("cust_", ck % 10))
-         .when(k % 3 == 1, _prefixed("cust_", ck % 100))
-         .otherwise(_prefixed("cust_", ck)).alias("customer_id"),
-        F.when(k % 97 == 0, price)
-         .when(k % 991 == 0, F.lit(0.0))
-         .when(ck % 7 == 3, F.floor(price / 100) / 100)
-         .otherwise(F.floor(price) / 100).alias("amount"),
-        F.when(k % 4 == 0, "USD").when(k % 4 == 1, "EUR").when(k % 4 == 2, "BRL")
-         .otherwise("GBP").alias("currency"),
-        F.when(F.col("o_orderstatus") == "F", "completed")
-         .when(F.col("o_orderstatus") == "P", "failed")
-         .when(k % 2 == 0, "pending").otherwise("cancelled").alias("status"),
-        F.when((k * 31 + ck) % 4 == 0, "credit_card").when((k * 31 + ck) % 4 == 1, "debit_card")
-         .when((k * 31 + ck) % 4 == 2, "paypal").otherwise("bank_transfer").alias("payment_method"),
-        _prefixed("merchant_", k % 900 + 100).alias("merchant_id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "electronics")
-         .when(F.col("o_orderpriority") == "2-HIGH", "clothing")
-         .when(F.col("o_orderpriority") == "3-MEDIUM", "food")
-         .when(F.col("o_orderpriority") == "5-LOW", "books")
-         .otherwise("travel").alias("category"),
-        F.when(ck % 13 == 5, (850 + k % 151).cast("double") / 1000)
-         .when(ck % 11 == 2, (k % 51).cast("double") / 1000)
-         .otherwise(((k * 7919) % 1001).cast("double") / 1000).alias("fraud_score"),
-        _s(k).alias("kinesis_sequence_number"),
-        _prefixed("cust_", ck).alias("kinesis_partition_key"),
-        _s(shifted_date).alias("processed_at"),
-    )
+    return _project(read_table(spark, sf_dir, "orders"), "bronze_transaction_events", TRANSACTION_EVENT_COLUMNS)
 
 
 def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,63 +140,44 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    ok, ln, flag, ck = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag"), F.col("o_custkey")
-    ts = _s(F.col("l_shipdate") + _days(DATE_SHIFT_DAYS))
-    return j.select(
-        F.concat(F.lit("pe_"), _s(ok), F.lit("_"), _s(ln)).alias("event_id"),
-        F.lit("product_event").alias("event_type"),
-        ts.alias("timestamp"),
-        _prefixed("prod_", "l_partkey").alias("product_id"),
-        _prefixed("cust_", ck).alias("customer_id"),
-        F.when(flag == "N", "purchase").when(flag == "R", "review")
-         .when(ln % 3 == 0, "view").when(ln % 3 == 1, "add_to_cart")
-         .otherwise("remove_from_cart").alias("action"),
-        F.col("p_type").alias("category"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.when((flag == "R") & (ck % 5 != 0), (F.col("l_partkey") % 5 + 1).cast("double"))
-         .alias("rating"),
-        _prefixed("sess_", ok % 5000).alias("session_id"),
-        _s(ok).alias("kinesis_sequence_number"),
-        _prefixed("cust_", ck).alias("kinesis_partition_key"),
-        ts.alias("processed_at"),
-    )
+    return _project(j, "bronze_product_events", PRODUCT_EVENT_COLUMNS)
 
 
 def system_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    eid, et = F.col("event_id"), F.col("event_type")
-    ts = _s("ts")
-    return e.select(
-        _prefixed("sl_", eid).alias("event_id"),
-        F.lit("system_log").alias("event_type"),
-        ts.alias("timestamp"),
-        F.when(eid % 4 == 0, "api-gateway").when(eid % 4 == 1, "user-service")
-         .when(eid % 4 == 2, "payment-service").otherwise("inventory-service").alias("service"),
-        F.when(et == "error", "ERROR").when(et == "view", "DEBUG").when(et == "click", "WARN")
-         .otherwise("INFO").alias("level"),
-        _prefixed("message ", eid).alias("message"),
-        _prefixed("req_", eid).alias("request_id"),
-        (F.floor(F.col("value") * 10).cast("bigint") + 10).alias("response_time_ms"),
-        F.when(et == "error", F.lit(500)).otherwise(F.lit(200)).cast("bigint").alias("status_code"),
-        _prefixed("/api/v1/", et).alias("endpoint"),
-        F.when(eid % 10 < 3, F.lit(None).cast("string")).otherwise(_prefixed("user_", "user_id"))
-         .alias("user_id"),
-        _s(eid).alias("kinesis_sequence_number"),
-        _prefixed("sl_", eid).alias("kinesis_partition_key"),
-        ts.alias("processed_at"),
-    )
+    return _project(read_table(spark, sf_dir, "events"), "bronze_system_logs", SYSTEM_LOG_COLUMNS)
+
+
+class Bronze:
+    """The four bronze tables of one driver-table folder, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def customer_events(self) -> DataFrame:
+        return customer_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def transaction_events(self) -> DataFrame:
+        return transaction_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def product_events(self) -> DataFrame:
+        return product_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def system_logs(self) -> DataFrame:
+        return system_logs(self.spark, self.sf_dir)
+
+    def by_table(self) -> dict[str, DataFrame]:
+        return {
+            "bronze_customer_events": self.customer_events,
+            "bronze_transaction_events": self.transaction_events,
+            "bronze_product_events": self.product_events,
+            "bronze_system_logs": self.system_logs,
+        }
 
 
 def load_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    """All four bronze tables as lazy DataFrames with the declared bronze schemas."""
-    frames = Bronze(
-        customer_events(spark, sf_dir),
-        transaction_events(spark, sf_dir),
-        product_events(spark, sf_dir),
-        system_logs(spark, sf_dir),
-    )
-    return Bronze(*[
-        df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMAS[t].fields])
-        for t, df in frames.by_table().items()
-    ])
+    """All four bronze tables (lazily built) with the declared bronze schemas."""
+    return Bronze(spark, sf_dir)
