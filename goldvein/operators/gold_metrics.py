@@ -1,10 +1,10 @@
 """Gold business metrics (B26-B35): one long table of daily KPIs.
 
 Shape of the plan:
-- ``daily_transactions`` is aggregated once; the revenue, conversion and risk
-  rows are produced from it in a single pass with ``inline`` (the reference
-  reads that CTE three times and unions).
-- category and payment rows are separate aggregations over pruned scans.
+- the daily, date x category and date x payment aggregates come from one
+  GROUPING SETS pass over silver transactions; every aggregated row becomes
+  its long-format rows with ``inline`` (the reference scans the table three
+  times and reads the daily CTE three times).
 - country rows pre-aggregate completed transactions to (date, customer)
   before joining the customer profile, so the join never sees raw rows and a
   hot customer contributes one row per day.
@@ -156,14 +156,55 @@ def country_metrics(silver_tx: DataFrame, silver_cust: DataFrame) -> DataFrame:
                                     F.col("revenue"), F.col("customers"), F.col("n"))])
 
 
+def daily_category_payment_rows(silver_tx: DataFrame) -> DataFrame:
+    """B28, B29, B31, B32, B33 from ONE scan of silver transactions.
+
+    GROUPING SETS (date), (date, category), (date, payment_method) with
+    conditional aggregates; each output row is turned into its long rows by
+    its grouping set. Category rows count completed transactions only and
+    keep only groups that have one, as the per-grain aggregation does.
+    """
+    completed = F.col("status") == "completed"
+    usd = F.col("amount_usd").cast(R.MONEY_BOUNDED)
+    g = (silver_tx
+         .groupingSets([["transaction_date"], ["transaction_date", "category"],
+                        ["transaction_date", "payment_method"]],
+                       "transaction_date", "category", "payment_method")
+         .agg(F.grouping("category").alias("g_cat"), F.grouping("payment_method").alias("g_pay"),
+              F.count(F.lit(1)).alias("transaction_count"),
+              F.sum(usd).alias("usd"),
+              R.count_when(F.col("is_high_risk")).alias("high_risk_count"),
+              R.count_when(completed).alias("successful_count"),
+              R.count_when(F.col("status") == "failed").alias("failed_count"),
+              F.sum(F.when(completed, usd)).alias("completed_usd")))
+    rev = F.col("usd").cast("double")
+    done = F.col("completed_usd").cast("double")
+    daily = (F.col("g_cat") == 1) & (F.col("g_pay") == 1)
+    by_category = (F.col("g_cat") == 0) & (F.col("successful_count") > 0)
+    by_payment = F.col("g_pay") == 0
+    rows = (F.when(daily, F.array(
+                _row("transaction_date", "revenue", "total", rev, F.col("transaction_count"),
+                     rev / F.col("transaction_count")),
+                _conversion_row(), _risk_row()))
+            .when(by_category, F.array(
+                _row("transaction_date", "category_performance", F.col("category"), done,
+                     F.col("successful_count"), done / F.col("successful_count"))))
+            .when(by_payment, F.array(
+                _row("transaction_date", "payment_performance", F.col("payment_method"),
+                     F.col("transaction_count"), rev, F.col("successful_count")))))
+    return g.where(daily | by_category | by_payment).select(F.inline(rows)).select(*LONG_COLUMNS)
+
+
 def gold_business_metrics(silver_tx: DataFrame, silver_cust: DataFrame,
                           cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
-    """Union of revenue, conversion, acquisition, risk, category, payment, country rows."""
+    """Union of revenue, conversion, acquisition, risk, category, payment, country rows.
+
+    Silver transactions are scanned twice: once for the grouping-sets pass and
+    once for the (date, customer) pre-aggregate that feeds the country join.
+    """
     parts = [
-        daily_kpis(daily_transactions(silver_tx)),
+        daily_category_payment_rows(silver_tx),
         acquisition_metrics(daily_customers(silver_cust)),
-        category_metrics(silver_tx),
-        payment_metrics(silver_tx),
         country_metrics(silver_tx, silver_cust),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("processed_at", R.ts_ntz(cfg.run_timestamp))
