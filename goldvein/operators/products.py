@@ -18,6 +18,7 @@ from .. import config as C
 from ..config import PipelineConfig
 from ..functions import rules as R
 from .asof import asof_latest
+from .sessions import sessionize
 
 
 def silver_products(bronze_prod: DataFrame) -> DataFrame:
@@ -47,25 +48,17 @@ def silver_products(bronze_prod: DataFrame) -> DataFrame:
                     "unique_customers", "first_event_at", "last_event_at"))
 
 
-def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes") -> DataFrame:
+def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", partitions: int | None = None) -> DataFrame:
     """K2 (batch): per customer, events closer than ``gap`` (inclusive) form one
-    session; session end = last event + gap. Built on ``session_window``, which
-    merges sessions inside each partition before the shuffle."""
-    ts = R.to_ts("timestamp")
-    ev = bronze_cust.where(F.col("customer_id").isNotNull()).withColumn("event_ts", ts)
-    agg = (ev.groupBy("customer_id", F.session_window("event_ts", gap).alias("s"))
-           .agg(F.count(F.lit(1)).alias("n_events"),
-                F.min("event_ts").alias("first_event"),
-                F.max("event_ts").alias("last_event"),
-                F.size(F.collect_set("action")).alias("n_actions"),
-                F.min("device_type").alias("device_type")))
-    return agg.select(
-        "customer_id",
-        F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-        "n_events", "first_event", "last_event",
+    session; session end = last event + gap. Uses the skew-safe ``sessionize``
+    (time-sliced ``session_window`` plus a stitch of slice edges)."""
+    ev = bronze_cust.withColumn("event_ts", R.to_ts("timestamp"))
+    s = sessionize(ev, "customer_id", "event_ts", gap, partitions)
+    return s.select(
+        "customer_id", "session_start", "session_end", "n_events", "first_event", "last_event",
         (F.timestamp_diff("MICROSECOND", F.col("first_event"), F.col("last_event")).cast("double")
          / F.lit(1e6)).alias("duration_seconds"),
-        F.col("n_actions").cast("bigint").alias("n_actions"), "device_type")
+        F.size("actions").cast("bigint").alias("n_actions"), "device_type")
 
 
 def _completed(silver_tx: DataFrame) -> DataFrame:

@@ -31,3 +31,33 @@ def test_asof_matches_brute_force_with_hot_key(spark):
     want = brute(probes, facts)
     assert got == want
     assert got[probes[0][0]] == ("tie" if probes[0][1] == "hot" else want[probes[0][0]])
+
+
+def brute_sessions(events, gap_s):
+    out = {}
+    for k in {e[0] for e in events if e[0] is not None}:
+        ts = sorted(e[1] for e in events if e[0] == k)
+        cur = [ts[0]]
+        for t in ts[1:]:
+            if (t - cur[-1]).total_seconds() <= gap_s:
+                cur.append(t)
+            else:
+                out.setdefault(k, []).append((cur[0], cur[-1], len(cur)))
+                cur = [t]
+        out.setdefault(k, []).append((cur[0], cur[-1], len(cur)))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_sessionize_matches_brute_force_with_hot_key(spark):
+    from goldvein.operators.sessions import sessionize
+    rnd = random.Random(11)
+    t0 = datetime(2024, 1, 1)
+    keys = ["hot"] * 40 + ["a", "b", None]
+    events = [(rnd.choice(keys), t0 + timedelta(minutes=rnd.choice([rnd.randint(0, 3000), rnd.randint(0, 200)])),
+               rnd.choice(["view", "click"]), rnd.choice(["mobile", "tablet"])) for _ in range(600)]
+    df = spark.createDataFrame(events, "k string, t timestamp_ntz, action string, device_type string")
+    got = {}
+    for r in sessionize(df, "k", "t", "30 minutes", partitions=24).collect():
+        got.setdefault(r.k, []).append((r.first_event, r.last_event, r.n_events))
+        assert r.session_end == r.last_event + timedelta(minutes=30) and r.session_start == r.first_event
+    assert {k: sorted(v) for k, v in got.items()} == brute_sessions(events, 1800)
