@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,9 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:
             configured = None
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if not current:  # named only in the runtime conf: let DataFrame.checkpoint() use it too
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="goldvein-ckpt-")
@@ -70,16 +71,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint location."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
