@@ -42,6 +42,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return with_min_partitions(df) if name in FACT_TABLES else df
 
 
+class TableReader:
+    """Reads each driver table once (file listing and footers) per plan family."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, self.sf_dir, name)
+        return self._frames[name]
+
+
 # Offset that moves the 1995-2001 order dates into 2017-2024.
 DATE_SHIFT_DAYS = 8216
 
@@ -139,30 +151,30 @@ def _project(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
                            for f in schema.fields])
 
 
-def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def customer_events(read: TableReader) -> DataFrame:
+    e = read("events").select("event_id", "ts", "user_id", "event_type")
+    c = read("customer").select("c_custkey", "c_nationkey")
+    n = read("nation").select("n_nationkey", "n_name")
     j = e.join(c, e.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return _project(j, "bronze_customer_events", CUSTOMER_EVENT_COLUMNS)
 
 
-def transaction_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(read_table(spark, sf_dir, "orders"), "bronze_transaction_events", TRANSACTION_EVENT_COLUMNS)
+def transaction_events(read: TableReader) -> DataFrame:
+    return _project(read("orders"), "bronze_transaction_events", TRANSACTION_EVENT_COLUMNS)
 
 
-def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
+def product_events(read: TableReader) -> DataFrame:
+    li = read("lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_shipdate")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    o = read("orders").select("o_orderkey", "o_custkey")
+    p = read("part").select("p_partkey", "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return _project(j, "bronze_product_events", PRODUCT_EVENT_COLUMNS)
 
 
-def system_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(read_table(spark, sf_dir, "events"), "bronze_system_logs", SYSTEM_LOG_COLUMNS)
+def system_logs(read: TableReader) -> DataFrame:
+    return _project(read("events"), "bronze_system_logs", SYSTEM_LOG_COLUMNS)
 
 
 class Bronze:
@@ -170,22 +182,23 @@ class Bronze:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.read = TableReader(spark, sf_dir)
 
     @cached_property
     def customer_events(self) -> DataFrame:
-        return customer_events(self.spark, self.sf_dir)
+        return customer_events(self.read)
 
     @cached_property
     def transaction_events(self) -> DataFrame:
-        return transaction_events(self.spark, self.sf_dir)
+        return transaction_events(self.read)
 
     @cached_property
     def product_events(self) -> DataFrame:
-        return product_events(self.spark, self.sf_dir)
+        return product_events(self.read)
 
     @cached_property
     def system_logs(self) -> DataFrame:
-        return system_logs(self.spark, self.sf_dir)
+        return system_logs(self.read)
 
     def by_table(self) -> dict[str, DataFrame]:
         return {
