@@ -22,7 +22,8 @@ from goldvein.session import build_session  # noqa: E402
 
 HEADLINE = ("silver_transactions", "silver_customers", "gold_customer_analytics", "gold_business_metrics",
             "bronze_validation")
-EXTRA = ("revenue_attribution", "silver_products", "silver_sessions", "system_log_metrics", "dq_uniqueness")
+EXTRA = ("revenue_attribution", "silver_products", "silver_sessions", "system_log_metrics", "dq_uniqueness",
+         "stream_ingest_dedup")
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
