@@ -75,6 +75,12 @@ def exact_avg(c: Column | str, dec_type: str = MONEY_BOUNDED) -> Column:
     return safe_div(exact_sum(c, dec_type), F.count(col(c)))
 
 
+def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) -> Column:
+    """COUNT(DISTINCT c); ``approx=True`` uses a HyperLogLog++ sketch (``rsd`` relative
+    error) that merges per task without shuffling the distinct values."""
+    return F.approx_count_distinct(col(c), rsd) if approx else F.countDistinct(col(c))
+
+
 def count_when(cond: Column) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END): NULL conditions do not count."""
     return F.count(F.when(cond, F.lit(1)))

@@ -26,13 +26,13 @@ LONG_COLUMNS = ("metric_date", "metric_type", "dimension_type", "dimension_value
                 "metric_value", "supporting_metric_1", "supporting_metric_2")
 
 
-def daily_transactions(silver_tx: DataFrame) -> DataFrame:
-    """Per transaction_date over all statuses."""
+def daily_transactions(silver_tx: DataFrame, approx: bool = False) -> DataFrame:
+    """Per transaction_date over all statuses (``approx``: sketch for unique customers)."""
     return (silver_tx.groupBy("transaction_date")
             .agg(F.count(F.lit(1)).alias("transaction_count"),
                  R.exact_sum("amount_usd").alias("total_revenue"),
                  R.exact_avg("amount_usd").alias("avg_transaction_value"),
-                 F.countDistinct("customer_id").alias("unique_customers"),
+                 R.distinct_count("customer_id", approx).alias("unique_customers"),
                  R.count_when(F.col("is_high_risk")).alias("high_risk_count"),
                  R.count_when(F.col("status") == "completed").alias("successful_count"),
                  R.count_when(F.col("status") == "failed").alias("failed_count")))

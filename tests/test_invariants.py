@@ -40,3 +40,17 @@ def test_closed_stream_sessions_are_batch_sessions(spark):
     streamed = q(spark, "stream_sessions").select(*cols)
     batch = q(spark, "silver_sessions").select(*cols)
     assert streamed.count() > 0 and streamed.exceptAll(batch).count() == 0
+
+
+def test_approximate_distinct_counts_are_close(spark):
+    from goldvein.operators import gold_customer as GC
+    from goldvein.operators import gold_metrics as GM
+    from goldvein.plans.catalog import L
+    stx = L(spark, SF).silver_tx
+    exact = {r.transaction_date: r.unique_customers for r in GM.daily_transactions(stx).collect()}
+    approx = {r.transaction_date: r.unique_customers for r in GM.daily_transactions(stx, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(1, 0.05 * exact[d]) for d in exact)
+    a = {r.customer_id: r.transaction_days for r in GC.transaction_metrics(stx, approx=True).collect()}
+    e = {r.customer_id: r.transaction_days for r in GC.transaction_metrics(stx).collect()}
+    assert all(abs(a[c] - e[c]) <= max(1, 0.05 * e[c]) for c in e)
