@@ -26,6 +26,30 @@ RECOMMENDED_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each
+    (fits executor memory with room for sort buffers, spills otherwise); the
+    initial shuffle partition count is at least three waves of the cluster's
+    cores and is coalesced by AQE toward the advisory size, not toward
+    parallelism. Example: 100 TB on 1000 executors x 8 cores gives about
+    400 000 initial shuffle partitions, coalesced at run time.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    size = f"{target_partition_bytes // MB}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_bytes // MB}m",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "goldvein", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with ``RECOMMENDED_CONF``; used by tests and bench."""
