@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -72,16 +72,20 @@ def _month(c: str) -> F.Column:
 def cohort_retention(silver_tx: DataFrame) -> DataFrame:
     """K3: cohort = month of a customer's first completed transaction; per cohort
     and months since, the customers active (>= 1 completed transaction) and
-    their share of the cohort."""
+    their share of the cohort.
+
+    After the (customer, month) dedup a customer has at most one row per month,
+    and a cohort at most one row per month offset, so both windows below are
+    bounded by calendar length, not by data volume (no self-joins needed).
+    """
     active = _completed(silver_tx).select("customer_id", _month("transaction_date").alias("month")).distinct()
-    cohorts = active.groupBy("customer_id").agg(F.min("month").alias("cohort_month"))
+    with_cohort = active.withColumn("cohort_month", F.min("month").over(Window.partitionBy("customer_id")))
     since = F.months_between("month", "cohort_month").cast("int")
-    counts = (active.join(cohorts, "customer_id")
-              .groupBy("cohort_month", since.alias("months_since"))
+    counts = (with_cohort.groupBy("cohort_month", since.alias("months_since"))
               .agg(F.count(F.lit(1)).alias("active_customers")))
-    sizes = counts.where(F.col("months_since") == 0).select(
-        "cohort_month", F.col("active_customers").alias("cohort_size"))
-    return counts.join(sizes, "cohort_month").select(
+    size = F.max(F.when(F.col("months_since") == 0, F.col("active_customers"))).over(
+        Window.partitionBy("cohort_month"))
+    return counts.withColumn("cohort_size", size).select(
         "cohort_month", "months_since", "active_customers", "cohort_size",
         (F.col("active_customers").cast("double") / F.col("cohort_size") * F.lit(100.0)).alias("retention_pct"))
 
