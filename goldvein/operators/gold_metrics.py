@@ -102,11 +102,6 @@ def risk_metrics(daily: DataFrame) -> DataFrame:
     return _explode_rows(daily, [_risk_row()])
 
 
-def daily_kpis(daily: DataFrame) -> DataFrame:
-    """B28 + B29 + B31 in one pass over the daily aggregate (P5 un-pivot)."""
-    return _explode_rows(daily, [_revenue_row(), _conversion_row(), _risk_row()])
-
-
 def acquisition_metrics(daily_cust: DataFrame) -> DataFrame:
     """value = new silver rows; supports = High Value rows, NULL."""
     return _explode_rows(daily_cust, [_row("signup_date", "acquisition", "new_customers",

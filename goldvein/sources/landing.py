@@ -2,7 +2,7 @@
 
 A stream record is (partition key, sequence number, JSON payload). S7 turns
 event rows into envelopes; ``write_landing`` lands them as JSON-lines files,
-one file per partition, the way a stream service hands out shard batches.
+one file per key range, the way a stream service hands out shard batches.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import LINEAGE_FIELDS
-
 
 def to_envelope(events: DataFrame, payload_schema: T.StructType,
                 sequence_col: str = "kinesis_sequence_number",
@@ -31,10 +29,11 @@ def to_envelope(events: DataFrame, payload_schema: T.StructType,
 
 
 def write_landing(envelopes: DataFrame, path: str, shards: int) -> None:
-    """Append one batch of records: ``shards`` files, hash-partitioned by key."""
-    envelopes.repartition(shards, "partition_key").write.mode("append").json(path)
-
+    """Append one batch of records as ``shards`` files.
 
-def bronze_payload_fields(bronze: DataFrame) -> list[str]:
-    lineage = {n for n, _ in LINEAGE_FIELDS}
-    return [c for c in bronze.columns if c not in lineage]
+    Files are ranges of (partition key, sequence number): each key's records
+    stay contiguous and in sequence order, and a key holding a large share of
+    the batch is split over several files instead of filling one.
+    """
+    (envelopes.repartitionByRange(shards, "partition_key", "sequence_number")
+     .write.mode("append").json(path))

@@ -104,3 +104,16 @@ def test_business_metrics_invariants(spark):
     assert set(m.select("metric_type").distinct().toPandas().metric_type) == {
         "revenue", "conversion", "acquisition", "risk", "category_performance", "payment_performance",
         "country_performance"}
+
+
+def test_layer_schemas_follow_the_survey(spark):
+    """SURVEY §1.3: 19 silver transaction, 22 silver customer and 30 gold customer columns."""
+    from goldvein.plans.catalog import L
+    layers = L(spark, "/root/testdata/sf0.001")
+    assert tuple(layers.silver_tx.columns) == S.SILVER_TRANSACTION_COLUMNS and len(S.SILVER_TRANSACTION_COLUMNS) == 19
+    assert tuple(layers.silver_cust.columns) == S.SILVER_CUSTOMER_COLUMNS and len(S.SILVER_CUSTOMER_COLUMNS) == 22
+    assert tuple(layers.gold_cust.columns) == GC.GOLD_CUSTOMER_COLUMNS and len(GC.GOLD_CUSTOMER_COLUMNS) == 30
+    kpis = GM.gold_business_metrics(layers.silver_tx, layers.silver_cust)
+    assert tuple(kpis.columns) == GM.LONG_COLUMNS + ("processed_at",)
+    types = dict(kpis.dtypes)
+    assert [types[c] for c in GM.LONG_COLUMNS[4:]] == ["double"] * 3
