@@ -47,6 +47,16 @@ def envelope_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
     return reader.json(landing_dir)
 
 
+def envelopes_from_records(records: DataFrame, key: str = "key", value: str = "value",
+                           sequence: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+    """Any record stream with a key, a payload and position columns (for example a
+    Kafka source: binary key/value, partition, offset) as envelopes. The sequence
+    number is the position columns joined with '-'."""
+    seq = F.concat_ws("-", *[F.col(c).cast("string") for c in sequence])
+    return records.select(F.col(key).cast("string").alias("partition_key"), seq.alias("sequence_number"),
+                          F.col(value).cast("string").alias("data"))
+
+
 def event_time(ts_text: Column | str) -> Column:
     """Event-time column for watermarks: ISO text read as a UTC instant; NULL if unparseable."""
     c = F.col(ts_text) if isinstance(ts_text, str) else ts_text
@@ -111,16 +121,19 @@ class IngestQueries:
         self.quarantine.awaitTermination()
 
 
-def start_ingest(spark: SparkSession, landing_dir: str, payload_schema: T.StructType, bronze_path: str,
+def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, bronze_path: str,
                  quarantine_path: str, checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> IngestQueries:
+                 max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None) -> IngestQueries:
     """S1-S6 for one stream: two queries (bronze, quarantine), each exactly-once to Parquet.
 
-    ``available_now`` processes everything landed so far and stops (the hourly
-    run, T1); ``processing_time="1 hour"`` keeps the query running instead.
+    The source is the landing folder, or any streaming DataFrame of envelopes
+    (``envelopes``, e.g. from ``envelopes_from_records``). ``available_now``
+    processes everything available and stops (the hourly run, T1);
+    ``processing_time="1 hour"`` keeps the query running instead.
     """
-    decoded = decode(envelope_stream(spark, landing_dir, max_files_per_trigger), payload_schema, cfg)
+    source = envelopes if envelopes is not None else envelope_stream(spark, landing_dir, max_files_per_trigger)
+    decoded = decode(source, payload_schema, cfg)
 
     def sink(df: DataFrame, path: str, ckpt: str) -> StreamingQuery:
         w = (df.writeStream.format("parquet").option("path", path)

@@ -12,8 +12,6 @@ spark = build_session("local[4]", 4)
 con = duck(sf)
 bad = 0
 for name, fn in E.queries().items():
-    if name.startswith("stream_"):
-        continue
     s = {f.name: f.dataType.simpleString() for f in fn(spark, sf).schema.fields}
     rel = con.execute(E.oracle_sql()[name])
     o = {d[0]: str(d[1]) for d in rel.description}

@@ -66,3 +66,13 @@ def test_distinct_payloads_with_same_id_are_kept(spark, tmp_dir):
                     '\\"timestamp\\": \\"2024-01-01T00:00:00\\", \\"action\\": \\"' + amount + '\\"}"}\n')
     got, _ = run(spark, landing, os.path.join(tmp_dir, "out"))
     assert sorted(r.action for r in got.collect()) == ["1", "2"]
+
+
+def test_record_stream_adapter(spark):
+    recs = spark.createDataFrame(
+        [(b"cust_1", b'{"event_id": "e1", "timestamp": "2024-01-01T00:00:00", "customer_id": "cust_1"}', 0, 7),
+         (None, b"garbage", 1, 8)], "key binary, value binary, partition int, offset bigint")
+    dec = I.decode(I.envelopes_from_records(recs), CUSTOMER_EVENT, CFG)
+    good = I.valid_events(dec, CUSTOMER_EVENT).first()
+    assert (good.event_id, good.kinesis_sequence_number, good.kinesis_partition_key) == ("e1", "0-7", "cust_1")
+    assert [r.reason for r in I.quarantined(dec).collect()] == ["malformed payload"]
