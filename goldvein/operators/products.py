@@ -18,6 +18,7 @@ from .. import config as C
 from ..config import PipelineConfig
 from ..functions import rules as R
 from .asof import asof_latest
+from .ranking import global_ntile
 from .sessions import sessionize
 
 
@@ -176,6 +177,20 @@ def rfm_segments(gold_cust: DataFrame) -> DataFrame:
         R.exact_sum("total_revenue_usd").alias("revenue_usd"))
 
 
+def rfm_quintiles(tx_metrics: DataFrame, partitions: int | None = None) -> DataFrame:
+    """K9, ntile variant: per customer with a completed transaction, quintiles 1-5
+    of recency (last transaction date), frequency (completed count) and monetary
+    value (USD revenue); ties are broken by customer_id. Exact global tiles
+    without a single-task window (``ranking.global_ntile``)."""
+    base = tx_metrics.select("customer_id", "last_transaction_date", "total_transactions_detailed",
+                             "total_revenue_usd")
+    for col, out in (("last_transaction_date", "r_quintile"), ("total_transactions_detailed", "f_quintile"),
+                     ("total_revenue_usd", "m_quintile")):
+        base = global_ntile(base, [col, "customer_id"], 5, out, partitions)
+    return base.select("customer_id", "r_quintile", "f_quintile", "m_quintile",
+                       (F.col("r_quintile") + F.col("f_quintile") + F.col("m_quintile")).alias("rfm_quintile_total"))
+
+
 def system_log_metrics(bronze_logs: DataFrame) -> DataFrame:
     """Per service and hour - requests, error share (level ERROR), 5xx share,
     average and exact 95th-percentile response time."""

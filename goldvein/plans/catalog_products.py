@@ -172,3 +172,14 @@ FROM bronze_system_logs GROUP BY 1, 2""", "bronze_system_logs"))
 def q_system_log_metrics(spark, sf_dir):
     df = P.system_log_metrics(L(spark, sf_dir).bronze.system_logs)
     return df.select(*[stat6(c) if c == "p95_response_ms" else c for c in df.columns])
+
+
+@query("rfm_quintiles", with_ctes("""
+SELECT customer_id, r_quintile, f_quintile, m_quintile, r_quintile + f_quintile + m_quintile AS rfm_quintile_total
+FROM (SELECT customer_id,
+        CAST(NTILE(5) OVER (ORDER BY last_transaction_date, customer_id) AS INTEGER) AS r_quintile,
+        CAST(NTILE(5) OVER (ORDER BY total_transactions_detailed, customer_id) AS INTEGER) AS f_quintile,
+        CAST(NTILE(5) OVER (ORDER BY total_revenue_usd, customer_id) AS INTEGER) AS m_quintile
+      FROM transaction_metrics) q""", "transaction_metrics"))
+def q_rfm_quintiles(spark, sf_dir):
+    return P.rfm_quintiles(L(spark, sf_dir).tx_metrics)

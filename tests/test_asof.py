@@ -61,3 +61,21 @@ def test_sessionize_matches_brute_force_with_hot_key(spark):
         got.setdefault(r.k, []).append((r.first_event, r.last_event, r.n_events))
         assert r.session_end == r.last_event + timedelta(minutes=30) and r.session_start == r.first_event
     assert {k: sorted(v) for k, v in got.items()} == brute_sessions(events, 1800)
+
+
+def test_global_ntile_matches_sql_ntile(spark):
+    from goldvein.operators.ranking import global_ntile
+    rnd = random.Random(3)
+    for n in (1, 4, 5, 23, 301):
+        rows = [(f"c{i:04d}", rnd.choice([1.0, 2.0, 3.0, 7.5])) for i in range(n)]
+        df = spark.createDataFrame(rows, "id string, v double")
+        got = {r.id: r.t for r in global_ntile(df, ["v", "id"], 5, "t", partitions=7).collect()}
+        order = sorted(rows, key=lambda r: (r[1], r[0]))
+        q, rem = divmod(n, 5)
+        want, pos = {}, 0
+        for tile in range(1, 6):
+            size = q + (1 if tile <= rem else 0)
+            for r in order[pos:pos + size]:
+                want[r[0]] = tile
+            pos += size
+        assert got == want, n
