@@ -117,3 +117,17 @@ def test_layer_schemas_follow_the_survey(spark):
     assert tuple(kpis.columns) == GM.LONG_COLUMNS + ("processed_at",)
     types = dict(kpis.dtypes)
     assert [types[c] for c in GM.LONG_COLUMNS[4:]] == ["double"] * 3
+
+
+def test_one_row_per_customer_keeps_latest_profile(spark):
+    ce = bronze(spark, "bronze_customer_events", [
+        dict(event_id="a", customer_id="c1", email="x@y", country="BR", device_type="mobile", timestamp="2024-01-20T00:00:00"),
+        dict(event_id="b", customer_id="c1", email="x@y", country="BR", device_type="desktop", timestamp="2024-01-25T00:00:00"),
+        dict(event_id="c", customer_id="c2", email="z@y", country="US", device_type="tablet", timestamp="2024-01-01T00:00:00")])
+    te = bronze(spark, "bronze_transaction_events", [tx(1, "c1", 5.0)])
+    pe = bronze(spark, "bronze_product_events", [])
+    out = S.silver_customers(ce, te, pe, PipelineConfig(one_row_per_customer=True)).collect()
+    by = {r.customer_id: r for r in out}
+    assert len(out) == 2 and by["c1"].device_type == "desktop" and by["c1"].total_transactions == 1
+    assert tuple(r for r in S.silver_customers(ce, te, pe, PipelineConfig(one_row_per_customer=True)).columns) == \
+        S.SILVER_CUSTOMER_COLUMNS

@@ -76,3 +76,29 @@ def test_record_stream_adapter(spark):
     good = I.valid_events(dec, CUSTOMER_EVENT).first()
     assert (good.event_id, good.kinesis_sequence_number, good.kinesis_partition_key) == ("e1", "0-7", "cust_1")
     assert [r.reason for r in I.quarantined(dec).collect()] == ["malformed payload"]
+
+
+def test_processing_time_trigger_keeps_running(spark, tmp_dir):
+    landing, bronze = land(spark, tmp_dir)
+    out = os.path.join(tmp_dir, "out")
+    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/bronze", f"{out}/quarantine", f"{out}/_ckpt", CFG,
+                       available_now=False, processing_time="1 second")
+    try:
+        q.bronze.processAllAvailable()
+        q.quarantine.processAllAvailable()
+        assert q.bronze.isActive
+        assert spark.read.parquet(f"{out}/bronze").count() == bronze.count() + 1
+    finally:
+        q.bronze.stop()
+        q.quarantine.stop()
+
+
+def test_unknown_payload_fields_do_not_change_the_schema(spark):
+    env = spark.createDataFrame(
+        [("k", "1", '{"event_id": "e1", "timestamp": "2024-01-01T00:00:00", "brand_new_field": [1, 2]}'),
+         ("k", "2", '{"event_id": "e2", "timestamp": "2024-01-01T00:00:00", "rating": null}')],
+        "partition_key string, sequence_number string, data string")
+    from goldvein.schemas import BRONZE_SCHEMAS, PRODUCT_EVENT
+    out = I.valid_events(I.decode(env, PRODUCT_EVENT, CFG), PRODUCT_EVENT)
+    shape = lambda s: [(f.name, f.dataType) for f in s.fields]
+    assert shape(out.schema) == shape(BRONZE_SCHEMAS["bronze_product_events"]) and out.count() == 2
