@@ -54,7 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         cfg = PipelineConfig(as_of=date.fromisoformat(args.as_of), duplicate_tolerance=args.duplicate_tolerance)
         res = run_pipeline(spark, args.out, cfg, landing_root=args.landing, gate=not args.no_gate,
                            enforce_tests=args.enforce_tests)
-        print(json.dumps({"paths": res.paths, "quality": res.quality, "failed_checks": res.failed_checks}))
+        print(json.dumps({"paths": res.paths, "ingest": res.ingest_counts, "quality": res.quality,
+                          "failed_checks": res.failed_checks}))
     else:
         from .plans.catalog import QUERIES
         df = QUERIES[args.name](spark, args.sf)

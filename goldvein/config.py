@@ -52,6 +52,7 @@ class PipelineConfig:
     session_gap: str = "30 minutes"
     duplicate_tolerance: float = 0.0  # 0 = strict gate (any duplicate fails)
     one_row_per_customer: bool = False
+    tolerant_casts: bool = False  # E1: unparseable timestamps become NULL instead of failing the run
     usd_rates: tuple = field(default=USD_RATES)
 
     @property

@@ -40,9 +40,10 @@ def days_before(as_of: date, days: int) -> date:
     return as_of - timedelta(days=days)
 
 
-def to_ts(c: Column | str) -> Column:
-    """ISO-8601 text -> TIMESTAMP_NTZ (errors on bad input under ANSI, like the reference)."""
-    return col(c).cast("timestamp_ntz")
+def to_ts(c: Column | str, tolerant: bool = False) -> Column:
+    """ISO-8601 text -> TIMESTAMP_NTZ. Bad input fails the query under ANSI, like the
+    reference; ``tolerant=True`` turns it into NULL instead (``try_cast``)."""
+    return col(c).try_cast("timestamp_ntz") if tolerant else col(c).cast("timestamp_ntz")
 
 
 def weekday_sunday0(ts: Column | str) -> Column:

@@ -23,16 +23,17 @@ SILVER_TRANSACTION_COLUMNS = (
 )
 
 
-def clean_transactions(bronze_tx: DataFrame) -> DataFrame:
+def clean_transactions(bronze_tx: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """B1: drop rows without ids and amounts outside the open range (0, 100000)."""
     amount = F.col("amount")
+    tol = cfg.tolerant_casts
     return (bronze_tx
             .where(F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull()
                    & (amount > C.AMOUNT_LOWER_BOUND) & (amount < C.AMOUNT_UPPER_BOUND))
             .select("transaction_id", "customer_id", "amount", "currency", "status",
                     "payment_method", "merchant_id", "category", "fraud_score",
-                    R.to_ts("timestamp").alias("transaction_timestamp"),
-                    R.to_ts("processed_at").alias("processed_at"))
+                    R.to_ts("timestamp", tol).alias("transaction_timestamp"),
+                    R.to_ts("processed_at", tol).alias("processed_at"))
             .withColumns({
                 "transaction_date": F.to_date("transaction_timestamp"),
                 "transaction_hour": F.hour("transaction_timestamp"),
@@ -42,7 +43,7 @@ def clean_transactions(bronze_tx: DataFrame) -> DataFrame:
 
 def silver_transactions(bronze_tx: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """B7 = B1 + risk flag, amount band, time of day, day type, USD amount."""
-    enriched = clean_transactions(bronze_tx).withColumns({
+    enriched = clean_transactions(bronze_tx, cfg).withColumns({
         "is_high_risk": R.is_high_risk("fraud_score", cfg.fraud_score_threshold),
         "amount_category": R.amount_category("amount", cfg.high_value_transaction_threshold),
         "time_of_day": R.time_of_day("transaction_hour"),
@@ -52,9 +53,9 @@ def silver_transactions(bronze_tx: DataFrame, cfg: PipelineConfig = C.DEFAULT) -
     return enriched.select(*SILVER_TRANSACTION_COLUMNS)
 
 
-def customer_activity(bronze_cust: DataFrame) -> DataFrame:
+def customer_activity(bronze_cust: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """Grain customer_id x email x country x device_type."""
-    ts = R.to_ts("timestamp")
+    ts = R.to_ts("timestamp", cfg.tolerant_casts)
     return (bronze_cust
             .where(F.col("customer_id").isNotNull() & F.col("email").isNotNull()
                    & F.col("email").contains("@"))
@@ -77,7 +78,7 @@ def customer_transaction_summary(bronze_tx: DataFrame, cfg: PipelineConfig = C.D
                  R.count_when(F.col("status") == "completed").alias("successful_transactions"),
                  # strict ">" here, ">=" in silver_transactions: both kept as in the reference
                  R.count_when(F.col("fraud_score") > cfg.fraud_score_threshold).alias("high_risk_transactions"),
-                 F.max(R.to_ts("timestamp")).alias("last_transaction_date")))
+                 F.max(R.to_ts("timestamp", cfg.tolerant_casts)).alias("last_transaction_date")))
 
 
 def customer_product_summary(bronze_prod: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def silver_customers(bronze_cust: DataFrame, bronze_tx: DataFrame, bronze_prod:
     avg_rating_given stay NULL. The segment reads the un-defaulted total, so a
     customer without transactions is 'Low Value'.
     """
-    ce = customer_activity(bronze_cust)
+    ce = customer_activity(bronze_cust, cfg)
     ct = customer_transaction_summary(bronze_tx, cfg)
     cp = customer_product_summary(bronze_prod)
     joined = ce.join(ct, "customer_id", "left").join(cp, "customer_id", "left")

@@ -38,6 +38,7 @@ from ..streaming.ingest import ingest_all
 @dataclass
 class RunResult:
     paths: dict[str, str] = field(default_factory=dict)
+    ingest_counts: dict[str, dict] = field(default_factory=dict)
     quality: dict[str, str] = field(default_factory=dict)
     failed_checks: list[str] = field(default_factory=list)
 
@@ -91,7 +92,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
     result = RunResult()
     bronze_root = f"{out_dir}/bronze"
     if landing_root:
-        result.paths.update(ingest_all(spark, landing_root, bronze_root, f"{out_dir}/_checkpoints", cfg))
+        result.paths.update(ingest_all(spark, landing_root, bronze_root, f"{out_dir}/_checkpoints", cfg,
+                                       counts=result.ingest_counts))
     if bronze_frames:
         result.paths.update(append_bronze(bronze_frames, bronze_root))
 

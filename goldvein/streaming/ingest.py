@@ -120,6 +120,13 @@ class IngestQueries:
         self.bronze.awaitTermination()
         self.quarantine.awaitTermination()
 
+    def counts(self) -> dict[str, int]:
+        """Records read and quarantined by this run (from the queries' progress reports)."""
+        read = sum(p["numInputRows"] for p in self.bronze.recentProgress)
+        bad = sum(p["sink"].get("numOutputRows", 0) for p in self.quarantine.recentProgress
+                  if p["sink"].get("numOutputRows", -1) >= 0)
+        return {"records_read": int(read), "records_quarantined": int(bad)}
+
 
 def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, bronze_path: str,
                  quarantine_path: str, checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
@@ -148,12 +155,14 @@ def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T
 
 
 def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
-               cfg: PipelineConfig = C.DEFAULT, streams: dict | None = None) -> dict[str, str]:
+               cfg: PipelineConfig = C.DEFAULT, streams: dict | None = None,
+               counts: dict | None = None) -> dict[str, str]:
     """One independent ingest per stream; landing_root/<stream>/ -> bronze_root/<table>/.
 
     All streams are started, then awaited; a failing stream does not stop the
     others, and every failure is raised together at the end. Returns the
-    bronze path of each table.
+    bronze path of each table; ``counts`` (if given) receives per-table
+    records read and quarantined (D3).
     """
     streams = streams or STREAMS
     running: dict[str, IngestQueries] = {}
@@ -170,6 +179,8 @@ def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpo
     for table, q in running.items():
         try:
             q.await_all()
+            if counts is not None:
+                counts[table] = q.counts()
         except Exception as e:  # noqa: BLE001
             errors[table] = str(e)
     if errors:

@@ -131,3 +131,13 @@ def test_one_row_per_customer_keeps_latest_profile(spark):
     assert len(out) == 2 and by["c1"].device_type == "desktop" and by["c1"].total_transactions == 1
     assert tuple(r for r in S.silver_customers(ce, te, pe, PipelineConfig(one_row_per_customer=True)).columns) == \
         S.SILVER_CUSTOMER_COLUMNS
+
+
+def test_tolerant_casts(spark):
+    import pytest
+    rows = [tx(1, "c1", 50.0), tx(2, "c1", 60.0, ts="not a time")]
+    with pytest.raises(Exception):
+        S.silver_transactions(bronze(spark, "bronze_transaction_events", rows), CFG).collect()
+    out = S.silver_transactions(bronze(spark, "bronze_transaction_events", rows),
+                                PipelineConfig(tolerant_casts=True)).orderBy("transaction_id").collect()
+    assert [r.transaction_timestamp is None for r in out] == [False, True]

@@ -36,6 +36,8 @@ def test_full_run_with_tolerance(spark, tmp_dir):
         assert os.path.isdir(res.paths[name])
     val = {r.table_name: r.status for r in spark.read.parquet(res.quality["bronze_validation"]).collect()}
     assert set(val.values()) == {"PASS"}
+    assert res.ingest_counts["bronze_customer_events"]["records_read"] == frames["bronze_customer_events"].count()
+    assert res.ingest_counts["bronze_customer_events"]["records_quarantined"] == 0
     # the written gold table equals the same plan run directly on the source frames
     stx = S.silver_transactions(frames["bronze_transaction_events"], cfg)
     scu = S.silver_customers(frames["bronze_customer_events"], frames["bronze_transaction_events"],
