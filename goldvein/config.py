@@ -53,6 +53,10 @@ class PipelineConfig:
     duplicate_tolerance: float = 0.0  # 0 = strict gate (any duplicate fails)
     one_row_per_customer: bool = False
     tolerant_casts: bool = False  # E1: unparseable timestamps become NULL instead of failing the run
+    # Layout of the written silver transactions: one folder per date suits large
+    # volumes (date pruning, the reference indexes transaction_date); None writes
+    # one unpartitioned table, better when each date holds only a few rows.
+    silver_partition_by: str | None = "transaction_date"
     usd_rates: tuple = field(default=USD_RATES)
 
     @property

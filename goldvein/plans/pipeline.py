@@ -9,7 +9,7 @@ Layout under ``out_dir``::
 
     bronze/<table>/                     append-only raw events
     bronze/quarantine_<table>/          rejected records with a reason
-    silver/silver_transactions/         partitioned by transaction_date
+    silver/silver_transactions/         partitioned by transaction_date (configurable)
     silver/silver_customers/
     gold/gold_customer_analytics/
     gold/gold_business_metrics/         partitioned by metric_type
@@ -19,6 +19,8 @@ Layout under ``out_dir``::
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -41,6 +43,15 @@ class RunResult:
     ingest_counts: dict[str, dict] = field(default_factory=dict)
     quality: dict[str, str] = field(default_factory=dict)
     failed_checks: list[str] = field(default_factory=list)
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    @contextmanager
+    def phase(self, name: str):
+        t = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[name] = round(time.perf_counter() - t, 3)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
@@ -91,51 +102,52 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
     out_dir = out_dir.rstrip("/")
     result = RunResult()
     bronze_root = f"{out_dir}/bronze"
-    if landing_root:
-        result.paths.update(ingest_all(spark, landing_root, bronze_root, f"{out_dir}/_checkpoints", cfg,
-                                       counts=result.ingest_counts))
-    if bronze_frames:
-        result.paths.update(append_bronze(bronze_frames, bronze_root))
-
-    # validate -> gate
-    bronze = {t: spark.read.parquet(result.paths[t]) for t in BRONZE_TABLES if t in result.paths}
-    validation = Q.validate_bronze(spark, bronze, cfg)
-    vpath = f"{out_dir}/quality/bronze_validation"
-    validation.write.mode("overwrite").parquet(vpath)
-    result.quality["bronze_validation"] = vpath
-    if gate:
-        Q.quality_gate(spark.read.parquet(vpath))
-
-    # silver
-    silver_tx = S.silver_transactions(bronze["bronze_transaction_events"], cfg)
-    silver_cust = S.silver_customers(bronze["bronze_customer_events"], bronze["bronze_transaction_events"],
-                                     bronze["bronze_product_events"], cfg)
-    result.paths["silver_transactions"] = write_table(
-        silver_tx, f"{out_dir}/silver/silver_transactions", "transaction_date")
-    result.paths["silver_customers"] = write_table(silver_cust, f"{out_dir}/silver/silver_customers")
+    with result.phase("ingest"):
+        if landing_root:
+            result.paths.update(ingest_all(spark, landing_root, bronze_root, f"{out_dir}/_checkpoints", cfg,
+                                           counts=result.ingest_counts))
+        if bronze_frames:
+            result.paths.update(append_bronze(bronze_frames, bronze_root))
+
+    with result.phase("validate_and_gate"):
+        bronze = {t: spark.read.parquet(result.paths[t]) for t in BRONZE_TABLES if t in result.paths}
+        validation = Q.validate_bronze(spark, bronze, cfg)
+        vpath = f"{out_dir}/quality/bronze_validation"
+        validation.write.mode("overwrite").parquet(vpath)
+        result.quality["bronze_validation"] = vpath
+        if gate:
+            Q.quality_gate(spark.read.parquet(vpath))
+
+    with result.phase("silver"):
+        silver_tx = S.silver_transactions(bronze["bronze_transaction_events"], cfg)
+        silver_cust = S.silver_customers(bronze["bronze_customer_events"], bronze["bronze_transaction_events"],
+                                         bronze["bronze_product_events"], cfg)
+        result.paths["silver_transactions"] = write_table(
+            silver_tx, f"{out_dir}/silver/silver_transactions", cfg.silver_partition_by)
+        result.paths["silver_customers"] = write_table(silver_cust, f"{out_dir}/silver/silver_customers")
     stx = spark.read.parquet(result.paths["silver_transactions"])
     scu = spark.read.parquet(result.paths["silver_customers"])
 
-    # silver tests
-    _record(spark, result, out_dir, "silver_row_checks", Q.row_checks(scu, cfg.run_timestamp), enforce_tests)
-    _record(spark, result, out_dir, "silver_uniqueness", reduce(DataFrame.unionByName, [
-        Q.uniqueness(stx, "silver_transactions", ["transaction_id"]),
-        Q.uniqueness(scu, "silver_customers", ["customer_id"]),
-        Q.uniqueness(scu, "silver_customers", ["email"]),
-    ]), enforce_tests)
-    _record(spark, result, out_dir, "silver_referential",
-            Q.referential(stx, scu, "customer_id", "silver_transactions", "silver_customers"), enforce_tests)
-
-    # gold
-    result.paths["gold_customer_analytics"] = write_table(
-        GC.gold_customer_analytics(scu, stx, cfg), f"{out_dir}/gold/gold_customer_analytics")
-    result.paths["gold_business_metrics"] = write_table(
-        GM.gold_business_metrics(stx, scu, cfg), f"{out_dir}/gold/gold_business_metrics", "metric_type")
+    with result.phase("silver_tests"):  # T9
+        _record(spark, result, out_dir, "silver_row_checks", Q.row_checks(scu, cfg.run_timestamp), enforce_tests)
+        _record(spark, result, out_dir, "silver_uniqueness", reduce(DataFrame.unionByName, [
+            Q.uniqueness(stx, "silver_transactions", ["transaction_id"]),
+            Q.uniqueness(scu, "silver_customers", ["customer_id"]),
+            Q.uniqueness(scu, "silver_customers", ["email"]),
+        ]), enforce_tests)
+        _record(spark, result, out_dir, "silver_referential",
+                Q.referential(stx, scu, "customer_id", "silver_transactions", "silver_customers"), enforce_tests)
+
+    with result.phase("gold"):
+        result.paths["gold_customer_analytics"] = write_table(
+            GC.gold_customer_analytics(scu, stx, cfg), f"{out_dir}/gold/gold_customer_analytics")
+        result.paths["gold_business_metrics"] = write_table(
+            GM.gold_business_metrics(stx, scu, cfg), f"{out_dir}/gold/gold_business_metrics", "metric_type")
     gca = spark.read.parquet(result.paths["gold_customer_analytics"])
 
-    # gold tests
-    _record(spark, result, out_dir, "gold_uniqueness",
-            Q.uniqueness(gca, "gold_customer_analytics", ["customer_id"]), enforce_tests)
-    _record(spark, result, out_dir, "gold_referential",
-            Q.referential(gca, scu, "customer_id", "gold_customer_analytics", "silver_customers"), enforce_tests)
+    with result.phase("gold_tests"):  # T9
+        _record(spark, result, out_dir, "gold_uniqueness",
+                Q.uniqueness(gca, "gold_customer_analytics", ["customer_id"]), enforce_tests)
+        _record(spark, result, out_dir, "gold_referential",
+                Q.referential(gca, scu, "customer_id", "gold_customer_analytics", "silver_customers"), enforce_tests)
     return result
