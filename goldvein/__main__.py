@@ -19,7 +19,7 @@ from .config import PipelineConfig
 from .session import build_session
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, stop: bool = True) -> None:
     ap = argparse.ArgumentParser(prog="goldvein")
     sub = ap.add_subparsers(dest="cmd", required=True)
     land = sub.add_parser("land")
@@ -63,7 +63,8 @@ def main(argv: list[str] | None = None) -> None:
             df.write.mode("overwrite").parquet(args.out)
         else:
             print(json.dumps({"query": args.name, "rows": df.count()}))
-    spark.stop()
+    if stop:
+        spark.stop()
 
 
 if __name__ == "__main__":
