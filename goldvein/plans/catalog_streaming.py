@@ -53,10 +53,9 @@ def q_stream_ingest_dedup(spark, sf_dir):
     layers = L(spark, sf_dir)
     landing = _land(layers, layers.bronze.customer_events, CUSTOMER_EVENT, deliveries=2)
     out = scratch_path(spark, "bronze")
-    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/bronze", f"{out}/quarantine",
-                       f"{out}/_checkpoints", layers.cfg)
+    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg)
     q.await_all()
-    return spark.read.parquet(f"{out}/bronze").drop("processed_at")
+    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT).drop("processed_at")
 
 
 @query("stream_sessions", with_ctes("""

@@ -7,8 +7,8 @@ silver scans prune columns and partitions.
 
 Layout under ``out_dir``::
 
-    bronze/<table>/                     append-only raw events
-    bronze/quarantine_<table>/          rejected records with a reason
+    bronze/<table>/record_status=valid/        append-only raw events
+    bronze/<table>/record_status=quarantined/  rejected records with a reason
     silver/silver_transactions/         partitioned by transaction_date (configurable)
     silver/silver_customers/
     gold/gold_customer_analytics/
@@ -33,8 +33,8 @@ from ..operators import gold_customer as GC
 from ..operators import gold_metrics as GM
 from ..operators import quality as Q
 from ..operators import silver as S
-from ..schemas import BRONZE_TABLES
-from ..streaming.ingest import ingest_all
+from ..schemas import STREAMS
+from ..streaming.ingest import RECORD_STATUS, VALID, ingest_all, read_bronze
 
 
 @dataclass
@@ -69,11 +69,13 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> st
 
 
 def append_bronze(frames: dict[str, DataFrame], bronze_root: str) -> dict[str, str]:
-    """Batch form of the bronze sink (S4): append each frame to bronze/<table>."""
+    """Batch form of the bronze sink (S4): append each frame to bronze/<table>, in the
+    same layout as the streaming ingest (record_status=valid)."""
     paths = {}
     for table, df in frames.items():
         paths[table] = f"{bronze_root}/{table}"
-        df.write.mode("append").parquet(paths[table])
+        (df.withColumn(RECORD_STATUS, F.lit(VALID)).write.mode("append")
+         .partitionBy(RECORD_STATUS).parquet(paths[table]))
     return paths
 
 
@@ -110,7 +112,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
             result.paths.update(append_bronze(bronze_frames, bronze_root))
 
     with result.phase("validate_and_gate"):
-        bronze = {t: spark.read.parquet(result.paths[t]) for t in BRONZE_TABLES if t in result.paths}
+        bronze = {t: read_bronze(spark, result.paths[t], schema)
+                  for t, schema in STREAMS.values() if t in result.paths}
         validation = Q.validate_bronze(spark, bronze, cfg)
         vpath = f"{out_dir}/quality/bronze_validation"
         validation.write.mode("overwrite").parquet(vpath)

@@ -1,12 +1,17 @@
 """Streaming bronze ingest.
 
-landing JSON envelopes --readStream--> decode payload --> quarantine | dedup --> bronze Parquet
+landing JSON envelopes --readStream--> decode payload --> dedup --> one Parquet table per stream,
+partitioned by record_status (valid | quarantined)
 
 * Offsets live in the checkpoint, so each run reads only new files and the
   Parquet file sink commits exactly once (the reference re-read every stream
   from the start on each run and appended it again).
 * Malformed envelopes or payloads, rows without event_id and rows whose
-  timestamp does not parse go to a quarantine table instead of failing the run.
+  timestamp does not parse are quarantined (with a reason) instead of failing
+  the run. Valid and quarantined rows leave in ONE query through one
+  exactly-once file sink partitioned by ``record_status``: every record is
+  parsed once and both outputs commit together. ``read_bronze`` and
+  ``read_quarantine`` read the two parts through the sink's commit log.
 * Re-delivered records (same event_id and same payload) are dropped with
   ``dropDuplicatesWithinWatermark`` on (event_id, 64-bit payload hash). Two
   different payloads under one event_id are both kept and reported by the
@@ -90,6 +95,10 @@ def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConf
     )
 
 
+RECORD_STATUS = "record_status"
+VALID, QUARANTINED = "valid", "quarantined"
+
+
 def valid_events(decoded: DataFrame, payload_schema: T.StructType, with_payload_hash: bool = False) -> DataFrame:
     bronze_cols = [f.name for f in with_lineage(payload_schema).fields]
     extra = [F.xxhash64("data").alias(PAYLOAD_HASH)] if with_payload_hash else []
@@ -103,7 +112,8 @@ def quarantined(decoded: DataFrame) -> DataFrame:
 def deduplicate(events: DataFrame, delay: str) -> DataFrame:
     """Drop records whose (event_id, payload hash) arrived within ``delay`` before.
 
-    ``events`` comes from ``valid_events(..., with_payload_hash=True)``.
+    ``events`` carries the hash column (``valid_events(..., with_payload_hash=True)``
+    or ``ingest_rows``).
     """
     return (events.withColumn("_arrival", F.current_timestamp())
             .withWatermark("_arrival", delay)
@@ -111,28 +121,62 @@ def deduplicate(events: DataFrame, delay: str) -> DataFrame:
             .drop("_arrival", PAYLOAD_HASH))
 
 
+def ingest_rows(decoded: DataFrame, payload_schema: T.StructType) -> DataFrame:
+    """Bronze columns + quarantine columns + record_status, ready for one sink.
+
+    Valid rows keep their parsed fields and drop the raw text; quarantined rows
+    keep the raw text and the reason. The dedup key hashes the raw record, so
+    only byte-identical re-deliveries collapse.
+    """
+    bronze_cols = [f.name for f in with_lineage(payload_schema).fields]
+    ok = F.col("reason").isNull()
+    return decoded.select(
+        *bronze_cols,
+        F.when(~ok, F.col("partition_key")).alias("q_partition_key"),
+        F.when(~ok, F.col("sequence_number")).alias("q_sequence_number"),
+        F.when(~ok, F.col("data")).alias("q_data"),
+        F.col("raw_record").alias("q_raw_record"),
+        F.col("reason").alias("q_reason"),
+        F.when(ok, VALID).otherwise(QUARANTINED).alias(RECORD_STATUS),
+        F.xxhash64("data", "raw_record").alias(PAYLOAD_HASH))
+
+
+def read_bronze(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
+    """The valid records of an ingest table (partition-pruned, via the commit log)."""
+    cols = [f.name for f in with_lineage(payload_schema).fields]
+    return spark.read.parquet(root).where(F.col(RECORD_STATUS) == VALID).select(*cols)
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The rejected records of an ingest table, with their reason."""
+    return spark.read.parquet(root).where(F.col(RECORD_STATUS) == QUARANTINED).select(
+        *[F.col(f"q_{c}").alias(c) for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"], "processed_at")
+
+
 @dataclass
-class IngestQueries:
-    bronze: StreamingQuery
-    quarantine: StreamingQuery
+class IngestQuery:
+    query: StreamingQuery
 
     def await_all(self) -> None:
-        self.bronze.awaitTermination()
-        self.quarantine.awaitTermination()
+        self.query.awaitTermination()
 
     def counts(self) -> dict[str, int]:
-        """Records read and quarantined by this run (from the queries' progress reports)."""
-        read = sum(p["numInputRows"] for p in self.bronze.recentProgress)
-        bad = sum(p["sink"].get("numOutputRows", 0) for p in self.quarantine.recentProgress
-                  if p["sink"].get("numOutputRows", -1) >= 0)
-        return {"records_read": int(read), "records_quarantined": int(bad)}
-
-
-def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, bronze_path: str,
-                 quarantine_path: str, checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
+        """Records read and quarantined by this run (observed per micro-batch)."""
+        read = bad = 0
+        for p in self.query.recentProgress:
+            m = (p.get("observedMetrics") or {}).get("ingest")  # a Row per batch
+            if m is not None:
+                read += int(m["records"] or 0)
+                bad += int(m["quarantined"] or 0)
+        return {"records_read": read, "records_quarantined": bad}
+
+
+def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, table_root: str,
+                 checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None) -> IngestQueries:
-    """S1-S6 for one stream: two queries (bronze, quarantine), each exactly-once to Parquet.
+                 max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None) -> IngestQuery:
+    """S1-S6 for one stream: one query, exactly-once into ``table_root`` (Parquet,
+    partitioned by record_status).
 
     The source is the landing folder, or any streaming DataFrame of envelopes
     (``envelopes``, e.g. from ``envelopes_from_records``). ``available_now``
@@ -140,18 +184,14 @@ def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T
     ``processing_time="1 hour"`` keeps the query running instead.
     """
     source = envelopes if envelopes is not None else envelope_stream(spark, landing_dir, max_files_per_trigger)
-    decoded = decode(source, payload_schema, cfg)
-
-    def sink(df: DataFrame, path: str, ckpt: str) -> StreamingQuery:
-        w = (df.writeStream.format("parquet").option("path", path)
-             .option("checkpointLocation", ckpt).outputMode("append"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
-        return w.start()
-
-    bronze = sink(deduplicate(valid_events(decoded, payload_schema, with_payload_hash=True), cfg.dedup_watermark),
-                  bronze_path, f"{checkpoint_dir}/bronze")
-    quarantine = sink(quarantined(decoded), quarantine_path, f"{checkpoint_dir}/quarantine")
-    return IngestQueries(bronze, quarantine)
+    decoded = decode(source, payload_schema, cfg).observe(
+        "ingest", F.count(F.lit(1)).alias("records"),
+        F.count(F.when(F.col("reason").isNotNull(), 1)).alias("quarantined"))
+    rows = deduplicate(ingest_rows(decoded, payload_schema), cfg.dedup_watermark)
+    w = (rows.writeStream.format("parquet").option("path", table_root)
+         .option("checkpointLocation", checkpoint_dir).partitionBy(RECORD_STATUS).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
+    return IngestQuery(w.start())
 
 
 def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
@@ -161,19 +201,18 @@ def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpo
 
     All streams are started, then awaited; a failing stream does not stop the
     others, and every failure is raised together at the end. Returns the
-    bronze path of each table; ``counts`` (if given) receives per-table
-    records read and quarantined (D3).
+    table root of each stream (read it with ``read_bronze``); ``counts`` (if
+    given) receives per-table records read and quarantined (D3).
     """
     streams = streams or STREAMS
-    running: dict[str, IngestQueries] = {}
+    running: dict[str, IngestQuery] = {}
     paths: dict[str, str] = {}
     errors: dict[str, str] = {}
     for stream_name, (table, schema) in streams.items():
         paths[table] = f"{bronze_root}/{table}"
         try:
-            running[table] = start_ingest(
-                spark, f"{landing_root}/{stream_name}", schema, paths[table],
-                f"{bronze_root}/quarantine_{table}", f"{checkpoint_root}/{table}", cfg)
+            running[table] = start_ingest(spark, f"{landing_root}/{stream_name}", schema, paths[table],
+                                          f"{checkpoint_root}/{table}", cfg)
         except Exception as e:  # noqa: BLE001
             errors[table] = str(e)
     for table, q in running.items():

@@ -33,9 +33,10 @@ def land(spark, tmp_dir):
 
 
 def run(spark, landing, out):
-    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/bronze", f"{out}/quarantine", f"{out}/_ckpt", CFG)
+    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_ckpt", CFG)
     q.await_all()
-    return spark.read.parquet(f"{out}/bronze"), spark.read.parquet(f"{out}/quarantine")
+    run.last_counts = q.counts()
+    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT), I.read_quarantine(spark, f"{out}/table")
 
 
 def test_ingest_quarantine_dedup_late_and_rerun(spark, tmp_dir):
@@ -47,6 +48,8 @@ def test_ingest_quarantine_dedup_late_and_rerun(spark, tmp_dir):
     assert got.where(F.col("event_id") == "ce_old").count() == 1
     assert got.select("event_id").distinct().count() == n_src + 1
     assert sorted(r.reason for r in bad.collect()) == ["malformed envelope", "malformed payload"]
+    lines = sum(sum(1 for _ in open(f)) for f in glob.glob(os.path.join(landing, "*.json")))
+    assert run.last_counts == {"records_read": lines, "records_quarantined": 2}
     assert set(r.processed_at for r in got.select("processed_at").distinct().collect()) == {CFG.run_ts_string()}
     # second run over the same folder: offsets say nothing is new
     got2, bad2 = run(spark, landing, out)
@@ -81,16 +84,14 @@ def test_record_stream_adapter(spark):
 def test_processing_time_trigger_keeps_running(spark, tmp_dir):
     landing, bronze = land(spark, tmp_dir)
     out = os.path.join(tmp_dir, "out")
-    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/bronze", f"{out}/quarantine", f"{out}/_ckpt", CFG,
+    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_ckpt", CFG,
                        available_now=False, processing_time="1 second")
     try:
-        q.bronze.processAllAvailable()
-        q.quarantine.processAllAvailable()
-        assert q.bronze.isActive
-        assert spark.read.parquet(f"{out}/bronze").count() == bronze.count() + 1
+        q.query.processAllAvailable()
+        assert q.query.isActive
+        assert I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT).count() == bronze.count() + 1
     finally:
-        q.bronze.stop()
-        q.quarantine.stop()
+        q.query.stop()
 
 
 def test_unknown_payload_fields_do_not_change_the_schema(spark):
