@@ -65,8 +65,8 @@ def quality_gate(results: DataFrame) -> bool:
 
     ``results`` holds one row per bronze table, so collecting it is bounded.
     """
-    failed = [r["table_name"] for r in results.where(F.col("status") != "PASS")
-              .select("table_name").orderBy("table_name").collect()]
+    failed = sorted(r["table_name"] for r in results.where(F.col("status") != "PASS")
+                    .select("table_name").collect())
     if failed:
         raise ValueError(f"Data quality failed: {failed}")
     return True
