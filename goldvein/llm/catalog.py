@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_gray
+from . import edit_decontam, entropy_mix, mixed_langid, simhash_gray
 from .common import table
 
 
@@ -14,7 +14,27 @@ def op3_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_mixed_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mixed_langid.train(mixed_langid.training_rows(docs))
+    texts = docs.select("doc_id", mixed_langid.held_out().alias("held_out"), "text")
+    return mixed_langid.predict(texts, model).select("doc_id", "held_out", "lang_pred", "score",
+                                                     F.size("spans").alias("n_spans"))
+
+
+def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = entropy_mix.sized(table(spark, sf_dir, "documents"))
+    return entropy_mix.mix(docs, size=F.col("size")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op4_mixed_language_id": op4_mixed_language_id,
+    "op5_entropy_mix": op5_entropy_mix,
+    "op6_edit_decontam": op6_edit_decontam,
     "op3_simhash_gray": op3_simhash_gray,
 }
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ characters other than U+0020 and U+0009-U+000D.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
@@ -46,8 +46,22 @@ def file_system(uri: str):
 
 def word_count(text: Column) -> Column:
     """Number of words, as a long; null text has 0."""
-    parts = F.size(F.split(F.trim(F.regexp_replace(text, SPACE, " ")), " "))
-    return F.when(text.isNull() | (F.trim(F.regexp_replace(text, SPACE, " ")) == ""), 0).otherwise(parts).cast("long")
+    bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(F.coalesce(bare, F.lit("")) == "", 0).otherwise(F.size(F.split(bare, SPACE))).cast("long")
+
+
+def ranked(df: DataFrame, by: str, name: str) -> DataFrame:
+    """``df`` with column ``name``: the position from 1 in the order of ``by``, null last.
+
+    Rows are range-partitioned, so no task sorts the whole; the only ordered
+    pass over everything is over one row count per partition.
+    """
+    sliced = saved(df.repartitionByRange(F.col(by).asc_nulls_last()).withColumn("_slice", F.spark_partition_id()), "ranked")
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_n")) \
+        .select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(F.col(by).asc_nulls_last()))
+    return sliced.join(sizes, "_slice").withColumn(name, F.col("_before") + inside).drop("_slice", "_before")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
