@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_decontam, entropy_mix, mixed_langid, simhash_gray
+from . import edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray
 from .common import table
 
 
@@ -31,7 +31,12 @@ def op6_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.judged_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op9_fuzzy_lines": op9_fuzzy_lines,
     "op4_mixed_language_id": op4_mixed_language_id,
     "op5_entropy_mix": op5_entropy_mix,
     "op6_edit_decontam": op6_edit_decontam,

@@ -12,8 +12,9 @@ so the distributed iterations run over the exact histogram of sizes; a step
 that leaves the bracket of the root is replaced by bisection.
 
 Rounding: along the sizes of a source, whole copies follow the running sum of
-the rates (error of a few documents at most), then single copies are moved
-where that brings the words taken nearer to the target. Which documents of
+the rates (error of a few documents at most), then single copies are added or
+dropped, alone or in pairs, where that brings the words taken nearer to the
+target. Which documents of
 one (source, size) get the extra copy is decided by a hash of the id, so
 reruns agree and repeated rows of one id are treated alike.
 
@@ -93,19 +94,31 @@ def _whole_copies(hist: pd.DataFrame, cap: int) -> pd.DataFrame:
     """One source's (size, n, rate, target) -> per size the sure copies and how many documents get one more."""
     hist = hist.sort_values("size").reset_index(drop=True)
     size, n, rate = hist["size"].to_numpy(), hist["n"].to_numpy(), hist["rate"].to_numpy()
-    base = np.minimum(np.floor(rate + 1e-9), cap).astype(np.int64)
-    run = np.cumsum(n * np.maximum(0.0, rate - base))
-    more = np.clip(np.diff(np.floor(run + 0.5), prepend=0).astype(np.int64), 0, np.where(base < cap, n, 0))
+    run = np.cumsum(n * rate)
+    copies = np.clip(np.diff(np.floor(run + 0.5 + 1e-9), prepend=0).astype(np.int64), 0, cap * n)
     target = hist["target"].iloc[0]
-    for _ in range(MOVES):  # move single copies while that narrows the gap
-        gap = target - float((size * (n * base + more)).sum())
-        able = (more < n) & (base < cap) if gap > 0 else more > 0
-        left = np.where(able & (size > 0), np.abs(abs(gap) - size), np.inf)
-        k = int(left.argmin())
-        if not left[k] < abs(gap):
+    for _ in range(MOVES):  # add or drop one copy, or two at once, while that narrows the gap
+        gap = target - float((size * copies).sum())
+        add, drop = np.flatnonzero((copies < cap * n) & (size > 0)), np.flatnonzero((copies > 0) & (size > 0))
+        where, sign = np.concatenate((add, drop)), np.repeat((1, -1), (len(add), len(drop)))
+        if not len(where):
             break
-        more[k] += 1 if gap > 0 else -1
-    return pd.DataFrame({"_rank": hist["_rank"], "size": size, "n": n, "rate": rate, "base": base, "more": more})
+        change = sign * size[where]
+        order = np.argsort(change, kind="stable")
+        where, sign, change = where[order], sign[order], change[order]
+        alone = np.abs(gap - change)
+        best, move = alone.min(), [int(alone.argmin())]
+        near = np.searchsorted(change, gap - change)
+        for k in (near - 1, near):
+            k = np.clip(k, 0, len(change) - 1)
+            both = np.where(where[k] == where, np.inf, np.abs(gap - change - change[k]))
+            if both.min() < best:
+                best, move = both.min(), [int(both.argmin()), int(k[both.argmin()])]
+        if not best < abs(gap):
+            break
+        for m in move:
+            copies[where[m]] += sign[m]
+    return pd.DataFrame({"_rank": hist["_rank"], "size": size, "n": n, "rate": rate, "base": copies // n, "more": copies % n})
 
 
 def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", source_col: str = "source",
@@ -139,18 +152,20 @@ def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", sou
     inside = split.join(at, F.col("_s").eqNullSafe(F.col("_s2")) & (F.col("_z") == F.col("_z2")) & (F.col("_slice") == F.col("_slice2")))
     rank = F.row_number().over(Window.partitionBy("_s", "_z").orderBy("_hash"))
     cut = inside.withColumn("r", rank).where("r = more - b").select("_s", "_z", F.col("_hash").alias("_upto"))
-    rules = (plan.join(goals.select("_rank", F.col("source").alias("_source"), "source_size", "target"), "_rank")
-             .join(cut, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
-             .select("_source", F.col("size").alias("_size2"), "source_size", "target", "rate", "base", "more", "n", "_upto"))
+    rules = (plan.join(goals.select("_rank", F.col("source").alias("_mix_source"), "source_size", "target"), "_rank")
+             .join(cut, F.col("_mix_source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
+             .select("_mix_source", *[F.col(c).alias(f"_mix_{c}") for c in
+                                      ("size", "source_size", "target", "rate", "base", "more", "n", "_upto")]))
     rules = saved(rules, "rules")
 
-    out = docs.withColumn("_size", size.cast("long")).withColumn("_own", order).withColumn("_of", F.col(source_col))
-    out = out.drop(*ADDED).join(rules, F.col("_of").eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_size2")))
-    extra = (F.col("more") == F.col("n")) | ((F.col("more") > 0) & (F.col("_own") <= F.col("_upto")))
-    copies = (F.col("base") + F.when(extra & (F.col("n") > 0), 1).otherwise(0)).cast("long")
-    return out.withColumn("copies", copies).withColumn("size", F.col("_size")) \
-        .withColumn("taken", F.col("copies") * F.col("size")) \
-        .select(*[c for c in docs.columns if c not in ADDED], *ADDED)
+    # names with a prefix: the columns of ``docs`` may have any others
+    out = docs.withColumns({"_mix_words": size.cast("long"), "_mix_order": order, "_mix_of": F.col(source_col)}).drop(*ADDED)
+    out = out.join(rules, F.col("_mix_of").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_words") == F.col("_mix_size")))
+    extra = (F.col("_mix_more") > 0) & (F.col("_mix_order") <= F.col("_mix__upto"))
+    copies = (F.col("_mix_base") + F.when(extra, 1).otherwise(0)).cast("long")
+    added = {"size": F.col("_mix_size"), "source_size": F.col("_mix_source_size"), "target": F.col("_mix_target"),
+             "rate": F.col("_mix_rate"), "copies": copies, "taken": copies * F.col("_mix_size")}
+    return out.select(*[c for c in docs.columns if c not in ADDED], *[added[c].alias(c) for c in ADDED])
 
 
 def sized(docs: DataFrame) -> DataFrame:
