@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray
+from . import backoff_lm, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray
 from .common import table
 
 
@@ -35,7 +35,12 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.judged_lines(table(spark, sf_dir, "documents"))
 
 
+def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op10_stupid_backoff": op10_stupid_backoff,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op4_mixed_language_id": op4_mixed_language_id,
     "op5_entropy_mix": op5_entropy_mix,
