@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray
-from .common import table
+from . import backoff_lm, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray, token_scan, warc_zstd
+from .common import shared_folder, table
 
 
 def op3_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,27 @@ def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_zstd_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc_zstd.write_archives(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
+    return warc_zstd.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 1000 AND page_id < last THEN last END AS refers_to
+FROM (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS last
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+"""
+
+
+def op8_token_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(table(spark, sf_dir, "documents"), shared_folder(spark, "tokens"))
+
+
 QUERIES = {
+    "op7_warc_zstd_dict": op7_warc_zstd_dict,
+    "op8_token_separator_scan": op8_token_separator_scan,
     "op10_stupid_backoff": op10_stupid_backoff,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op4_mixed_language_id": op4_mixed_language_id,
@@ -47,4 +67,4 @@ QUERIES = {
     "op6_edit_decontam": op6_edit_decontam,
     "op3_simhash_gray": op3_simhash_gray,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_warc_zstd_dict": OP7_SQL}
