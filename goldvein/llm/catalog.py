@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray, token_scan, warc_zstd
+from . import backoff_lm, balanced_ann, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray, token_scan, warc_zstd
 from .common import shared_folder, table
 
 
@@ -57,7 +57,12 @@ def op8_token_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.token_counts(table(spark, sf_dir, "documents"), shared_folder(spark, "tokens"))
 
 
+def op2_balanced_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 QUERIES = {
+    "op2_balanced_ann": op2_balanced_ann,
     "op7_warc_zstd_dict": op7_warc_zstd_dict,
     "op8_token_separator_scan": op8_token_separator_scan,
     "op10_stupid_backoff": op10_stupid_backoff,
