@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, balanced_ann, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray, token_scan, warc_zstd
+from . import backoff_lm, balanced_ann, edit_decontam, entropy_mix, fuzzy_lines, mixed_langid, simhash_gray, token_scan, tool_links, warc_zstd
 from .common import shared_folder, table
 
 
@@ -61,7 +61,36 @@ def op2_balanced_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op1_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_links.from_turns(table(spark, sf_dir, "conversations"))
+    return tool_links.link(calls, results, tool_links.SCHEMAS)
+
+
+OP1_SQL = """
+WITH RECURSIVE calls AS (
+  SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('system', 'user')
+), walks AS (
+  SELECT conv_id, turn, turn AS at, CAST(0 AS BIGINT) AS steps FROM calls
+  UNION
+  SELECT w.conv_id, w.turn, c.turn, w.steps + 1
+  FROM walks w JOIN calls c ON c.conv_id = w.conv_id AND c.turn IN (w.at - 1, w.at - 2)
+), levels AS (SELECT conv_id, turn, max(steps) AS level FROM walks GROUP BY ALL)
+SELECT c.conv_id, c.conv_id || ':' || c.turn AS call_id, c.turn AS position, l.level,
+       CASE c.role WHEN 'user' THEN 'ask' ELSE 'configure' END AS tool,
+       CASE WHEN r.text IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+       true AS valid, '' AS faults, CAST(0 AS BIGINT) AS duplicates,
+       '{"arguments":{"text":' || to_json(c.text) || ',"turn":' || c.turn
+       || CASE c.role WHEN 'user' THEN ',"words":' || len(regexp_split_to_array(trim(c.text), '\\s+')) ELSE '' END
+       || '},"call_id":"' || c.conv_id || ':' || c.turn || '","conv_id":' || c.conv_id || ',"level":' || l.level
+       || ',"result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null')
+       || ',"tool":"' || CASE c.role WHEN 'user' THEN 'ask' ELSE 'configure' END || '"}' AS message
+FROM calls c JOIN levels l USING (conv_id, turn)
+LEFT JOIN conversations r ON r.role = 'assistant' AND r.conv_id = c.conv_id AND r.turn = c.turn + 1
+"""
+
+
 QUERIES = {
+    "op1_tool_links": op1_tool_links,
     "op2_balanced_ann": op2_balanced_ann,
     "op7_warc_zstd_dict": op7_warc_zstd_dict,
     "op8_token_separator_scan": op8_token_separator_scan,
@@ -72,4 +101,4 @@ QUERIES = {
     "op6_edit_decontam": op6_edit_decontam,
     "op3_simhash_gray": op3_simhash_gray,
 }
-ORACLES = {"op7_warc_zstd_dict": OP7_SQL}
+ORACLES = {"op1_tool_links": OP1_SQL, "op7_warc_zstd_dict": OP7_SQL}
