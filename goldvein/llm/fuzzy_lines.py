@@ -1,7 +1,7 @@
 """Fuzzy line deduplication with DataFrame operations only.
 
-Every line of every text is normalised (lower case; runs of characters other
-than letters and digits are one space). Two different normal forms are linked
+Every line of every text is normalised (lower case, no white space at the
+ends). Two different normal forms are linked
 when their SimHashes (64 bits, over words) differ in at most ``MAX_BITS`` bits
 and their edit similarity, 1 - edits / longer length, is ``SIMILARITY`` or
 more. Of each connected group of lines only the first occurrence stays, by
@@ -9,9 +9,10 @@ more. Of each connected group of lines only the first occurrence stays, by
 
 * Equal normal forms are one node, named by a 64-bit hash, before anything is
   compared: a line that fills a third of the corpus is one row.
-* SimHash counters: word hashes are added up in 32 longs, each of which holds
-  the counters of two bits (bit k low, bit k + 32 high), so one hash
-  aggregation with map-side partial sums makes all 64 majorities.
+* SimHash counters: over parts of ``PART`` words, the hashes' 64 bits are added
+  up in eight longs of eight one-byte counters each, so a hash aggregation
+  with map-side sums makes all majorities; only lines of several parts go
+  through a second one with wider counters.
 * Pigeonhole: the 64 bits are cut into ``MAX_BITS + 2`` blocks; codes within
   ``MAX_BITS`` bits agree on at least two whole blocks, so lines meet on each
   pair of blocks (about 25 bits). In a bucket of two the pair is read off as
@@ -37,37 +38,47 @@ from pyspark.sql import functions as F
 from .common import components, saved
 
 MAX_BITS, SIMILARITY = 3, 0.8
-SLICES = 1024  # counters of one line are summed in so many slices, far from overflow
+PART = 127  # words whose bits one-byte counters can count, sign included
 _LAST = 2 ** 63 - 1  # stands for a null doc_id in the order of occurrences
 
 
 def normal(line: Column) -> Column:
-    return F.btrim(F.array_join(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), " "))
+    return F.lower(F.btrim(line, F.lit(" \t\n\x0b\f\r")))
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    """(row, doc_id, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
-    return (rows.select("doc_id", "line_no", normal(F.col("line")).alias("norm")).where("norm <> ''")
-            .select("doc_id", "line_no", F.xxhash64("norm").alias("id"), "norm"))
+    norm = normal(F.col("line")).alias("norm")
+    return rows.select("row", "doc_id", "line_no", norm).where(F.col("norm").rlike("[\\p{L}\\p{N}]")) \
+        .select("row", "doc_id", "line_no", F.xxhash64("norm").alias("id"), "norm")
+
+
+def _majorities(ones: list[Column], n: Column) -> Column:
+    """The 64-bit code whose bit b is set if ``ones[b]`` is over half of n."""
+    code = None
+    for b, count in enumerate(ones):
+        bit = F.when(2 * count > n, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long"))
+        code = bit if code is None else code.bitwiseOR(bit)
+    return code
 
 
 def simhashes(table: DataFrame) -> DataFrame:
-    """(id, sim) of each distinct line of ``lines``."""
-    words = table.select("id", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SLICES)).alias("slice"),
-                         F.explode(F.split("norm", " ")).alias("word"))
+    """(doc_id, line_no, id, sim) of every line of ``lines``."""
+    key = ["row", "doc_id", "line_no", "id"]
+    words = table.select(*key, F.split("norm", " ").alias("words"))
+    words = words.select(*key, (F.size("words") > PART).alias("long"), F.posexplode("words").alias("at", "word")).where("word <> ''")
     h = F.xxhash64("word")
-    sums = words.groupBy("id", "slice").agg(F.count("*").alias("n"), *[
-        F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(0x0000000100000001))).alias(f"s{k}") for k in range(32)])
-    sim = None
-    for k in range(32):
-        low, high = F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"s{k}", 32)
-        for bit, ones in ((k, low), (k + 32, high)):
-            one = F.when(2 * ones > F.col("n"), F.lit(1 << bit if bit < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long"))
-            sim = one if sim is None else sim.bitwiseOR(one)
-    # all slices of a line have the same words, hence the same majorities
-    return sums.select("id", sim.alias("sim")).groupBy("id").agg(F.max("sim").alias("sim"))
+    parts = words.groupBy(*key, "long", F.floor(F.col("at") / PART).cast("int").alias("part")).agg(F.count("*").alias("n"), *[
+        F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{j}") for j in range(8)])
+    ones = [F.shiftrightunsigned(f"s{b % 8}", b - b % 8).bitwiseAND(F.lit(255)) for b in range(64)]
+    short = parts.where("not long").select("doc_id", "line_no", "id", _majorities(ones, F.col("n")).alias("sim"))
+    # lines of several parts: counters of 32 bits, two in a long
+    wide = parts.where("long").groupBy(*key).agg(F.sum("n").alias("n"), *[
+        F.sum(ones[b].bitwiseOR(F.shiftleft(ones[b + 32], 32))).alias(f"w{b}") for b in range(32)])
+    total = [F.col(f"w{b}").bitwiseAND(F.lit(0xFFFFFFFF)) for b in range(32)] + [F.shiftrightunsigned(f"w{b}", 32) for b in range(32)]
+    return short.unionByName(wide.select("doc_id", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -101,9 +112,12 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.withColumn("_most", most).select("a", "b", F.when(longer - shorter > F.col("_most"), False).otherwise(within).alias("alike"))
 
 
-def line_links(table: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): verified links between distinct lines that connect every pair within both limits."""
-    sims = saved(simhashes(table), "line-simhash")
+def line_links(found: DataFrame, table: DataFrame, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): verified links between distinct lines that connect every pair within both limits.
+
+    ``found``: the (id, sim) of all lines; ``table``: their texts, read for candidates only.
+    """
+    sims = saved(found.groupBy("id").agg(F.max("sim").alias("sim")), "line-simhash")
     keyed = sims.select("id", F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m)))
                                                   for i, m in enumerate(_masks(max_bits))])).alias("key")).repartition("key")
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1")
@@ -132,9 +146,11 @@ def line_links(table: DataFrame, max_bits: int = MAX_BITS, similarity: float = S
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
                  similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, line_no, first_doc_id, first_line_no, kept) of every line that has a letter or digit."""
-    table = saved(lines(docs, id_col, text_col), "lines")
-    groups = components(line_links(table, max_bits, similarity), "a", "b").select(F.col("node").alias("id"), F.col("root").alias("group"))
-    found = table.select("doc_id", "line_no", "id").join(groups, "id", "left") \
+    table = lines(docs, id_col, text_col)
+    found = saved(simhashes(table), "lines")
+    links = line_links(found, table, max_bits, similarity)
+    groups = components(links, "a", "b").select(F.col("node").alias("id"), F.col("root").alias("group"))
+    found = found.select("doc_id", "line_no", "id").join(groups, "id", "left") \
         .select("doc_id", "line_no", F.coalesce("group", "id").alias("group"))
     found = saved(found, "line-groups")
     order = F.coalesce("doc_id", F.lit(_LAST))
