@@ -2,9 +2,10 @@
 
   land  --sf DIR --landing DIR         land the four event streams derived from the
                                        shared tables as record envelopes (one batch)
-  run   --out DIR [--landing DIR]      one pipeline run: ingest, validate, gate,
-        [--as-of YYYY-MM-DD] [--no-gate] [--enforce-tests] [--duplicate-tolerance X]
-                                       silver, tests, gold, tests
+  run   --out DIR --as-of YYYY-MM-DD   one pipeline run: ingest, validate, gate,
+        [--landing DIR] [--no-gate]    silver, tests, gold, tests; a failed test
+        [--known-failure TEST ...]     stops it unless it is named as known or
+        [--no-enforce-tests] [--duplicate-tolerance X] [--max-files-per-trigger N]
   query NAME --sf DIR [--out DIR]      run one registered query; print its row count or
                                        write it as Parquet
 """
@@ -25,13 +26,15 @@ def main(argv: list[str] | None = None, stop: bool = True) -> None:
     land = sub.add_parser("land")
     land.add_argument("--sf", required=True)
     land.add_argument("--landing", required=True)
-    land.add_argument("--shards", type=int, default=2)
+    land.add_argument("--shards", type=int, help="number of files; by default as many as the data needs")
     run = sub.add_parser("run")
     run.add_argument("--out", required=True)
     run.add_argument("--landing")
-    run.add_argument("--as-of", default="2024-01-31")
+    run.add_argument("--as-of", required=True)
     run.add_argument("--no-gate", action="store_true")
-    run.add_argument("--enforce-tests", action="store_true")
+    run.add_argument("--no-enforce-tests", action="store_true")
+    run.add_argument("--known-failure", action="append", default=[])
+    run.add_argument("--max-files-per-trigger", type=int)
     run.add_argument("--duplicate-tolerance", type=float, default=0.0)
     q = sub.add_parser("query")
     q.add_argument("name")
@@ -53,7 +56,8 @@ def main(argv: list[str] | None = None, stop: bool = True) -> None:
         from .plans.pipeline import run_pipeline
         cfg = PipelineConfig(as_of=date.fromisoformat(args.as_of), duplicate_tolerance=args.duplicate_tolerance)
         res = run_pipeline(spark, args.out, cfg, landing_root=args.landing, gate=not args.no_gate,
-                           enforce_tests=args.enforce_tests)
+                           enforce_tests=not args.no_enforce_tests, known_failures=tuple(args.known_failure),
+                           max_files_per_trigger=args.max_files_per_trigger)
         print(json.dumps({"paths": res.paths, "ingest": res.ingest_counts, "quality": res.quality,
                           "failed_checks": res.failed_checks}))
     else:

@@ -46,6 +46,20 @@ def to_ts(c: Column | str, tolerant: bool = False) -> Column:
     return col(c).try_cast("timestamp_ntz") if tolerant else col(c).cast("timestamp_ntz")
 
 
+def utc_instant(c: Column | str) -> Column:
+    """The instant of an ISO-8601 text read as UTC wall-clock time, NULL if unparseable.
+
+    Same parser as ``to_ts``: a zone in the text is ignored, a date alone is
+    midnight. No session time zone is involved.
+    """
+    return F.concat(to_ts(c, tolerant=True).cast("string"), F.lit("Z")).try_cast("timestamp")
+
+
+def hour_start(ts: Column) -> Column:
+    """TIMESTAMP_NTZ cut to its hour. ``date_trunc`` would pass through the session time zone."""
+    return F.concat(F.substring(ts.cast("string"), 1, 13), F.lit(":00:00")).cast("timestamp_ntz")
+
+
 def weekday_sunday0(ts: Column | str) -> Column:
     """Day of week with Sunday = 0 ... Saturday = 6 (SQL EXTRACT(DOW))."""
     return F.dayofweek(col(ts)) - 1
@@ -59,6 +73,8 @@ def weekday_sunday0(ts: Column | str) -> Column:
 # unfiltered bronze amounts.
 MONEY_BOUNDED = "decimal(18,4)"
 MONEY_RAW = "decimal(38,4)"
+# Scores are not money: 15 decimals hold every digit a score in [0, 1] is written with.
+SCORE = "decimal(38,15)"
 
 
 def exact_sum(c: Column | str, dec_type: str = MONEY_BOUNDED, as_double: bool = True) -> Column:

@@ -35,7 +35,7 @@ def transaction_metrics(silver_tx: DataFrame, approx: bool = False) -> DataFrame
                  F.max("transaction_date").alias("last_transaction_date"),
                  F.min("transaction_date").alias("first_transaction_date"),
                  R.count_when(F.col("is_high_risk")).alias("high_risk_transactions"),
-                 R.exact_avg("fraud_score").alias("avg_fraud_score"),
+                 R.exact_avg("fraud_score", R.SCORE).alias("avg_fraud_score"),
                  R.count_when(F.col("time_of_day") == "Night").alias("night_transactions"),
                  R.count_when(F.col("day_type") == "Weekend").alias("weekend_transactions"),
                  R.count_when(F.col("amount_category") == "High").alias("high_value_transactions"),

@@ -4,7 +4,7 @@
 Scale notes: every per-customer product is reduced to at most one row per
 (customer, day) or (customer, month) before any join, so a hot customer costs
 a bounded number of rows after the map-side combine. Month-over-month and
-previous-month lookups are equi-joins on a shifted month, not global windows.
+previous-month lookups read their source once.
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from .ranking import global_ntile
 from .sessions import sessionize
 
 
-def silver_products(bronze_prod: DataFrame) -> DataFrame:
+def silver_products(bronze_prod: DataFrame, tolerant: bool = False) -> DataFrame:
     """K1: per product_id - latest category and price (latest by event time, then
     event_id, price, category), event counts per action, units purchased,
     average rating, distinct customers, first and last event time."""
-    ts = R.to_ts("timestamp")
+    ts = R.to_ts("timestamp", tolerant)
     latest = F.max(F.struct(ts.alias("ts"), F.col("event_id"), F.col("price"), F.col("category")))
     act = F.col("action")
     return (bronze_prod.where(F.col("product_id").isNotNull())
@@ -49,11 +49,12 @@ def silver_products(bronze_prod: DataFrame) -> DataFrame:
                     "unique_customers", "first_event_at", "last_event_at"))
 
 
-def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", partitions: int | None = None) -> DataFrame:
+def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", partitions: int | None = None,
+                    tolerant: bool = False) -> DataFrame:
     """K2 (batch): per customer, events closer than ``gap`` (inclusive) form one
     session; session end = last event + gap. Uses the skew-safe ``sessionize``
     (time-sliced ``session_window`` plus a stitch of slice edges)."""
-    ev = bronze_cust.withColumn("event_ts", R.to_ts("timestamp"))
+    ev = bronze_cust.withColumn("event_ts", R.to_ts("timestamp", tolerant))
     s = sessionize(ev, "customer_id", "event_ts", gap, partitions)
     return s.select(
         "customer_id", "session_start", "session_end", "n_events", "first_event", "last_event",
@@ -91,13 +92,14 @@ def cohort_retention(silver_tx: DataFrame) -> DataFrame:
         (F.col("active_customers").cast("double") / F.col("cohort_size") * F.lit(100.0)).alias("retention_pct"))
 
 
-def revenue_attribution(silver_tx: DataFrame, bronze_cust: DataFrame, partitions: int | None = None) -> DataFrame:
+def revenue_attribution(silver_tx: DataFrame, bronze_cust: DataFrame, partitions: int | None = None,
+                        tolerant: bool = False) -> DataFrame:
     """K4: completed USD revenue credited to the device_type of the customer's
     latest customer event at or before the transaction ('unknown' if none);
     ties on event time go to the largest event_id. Per date and device:
     revenue, transactions, customers."""
     probes = _completed(silver_tx).select("customer_id", "transaction_timestamp", "transaction_date", "amount_usd")
-    facts = bronze_cust.select("customer_id", R.to_ts("timestamp").alias("event_ts"), "event_id", "device_type")
+    facts = bronze_cust.select("customer_id", R.to_ts("timestamp", tolerant).alias("event_ts"), "event_id", "device_type")
     hit = asof_latest(probes, facts, "customer_id", "transaction_timestamp", "event_ts", "device_type",
                       "event_id", out="device", partitions=partitions)
     return (hit.groupBy("transaction_date", F.coalesce(F.col("device"), F.lit("unknown")).alias("device_type"))
@@ -122,10 +124,13 @@ def revenue_growth(silver_tx: DataFrame) -> DataFrame:
     same month a year before (growth in percent, NULL without a base)."""
     monthly = (_completed(silver_tx).groupBy(_month("transaction_date").alias("month"))
                .agg(R.exact_sum("amount_usd").alias("revenue_usd")))
-    shifted = lambda n, name: monthly.select(F.add_months("month", n).alias("month"),
-                                             F.col("revenue_usd").alias(name))
-    j = (monthly.join(shifted(1, "prev_month_revenue"), "month", "left")
-         .join(shifted(12, "prev_year_revenue"), "month", "left"))
+    # one scan: each month is also offered to the months that look back at it (3 rows a month)
+    offers = monthly.select(F.explode(F.array(*[
+        F.struct(F.add_months("month", n).alias("month"), F.lit(n).alias("back"), "revenue_usd") for n in (0, 1, 12)])).alias("o"))
+    of = lambda n: F.max(F.when(F.col("o.back") == n, F.col("o.revenue_usd")))
+    j = (offers.groupBy(F.col("o.month").alias("month"))
+         .agg(of(0).alias("revenue_usd"), of(1).alias("prev_month_revenue"), of(12).alias("prev_year_revenue"))
+         .where("revenue_usd is not null"))
     return j.select("month", "revenue_usd", "prev_month_revenue",
                     _growth("revenue_usd", "prev_month_revenue").alias("mom_growth_pct"),
                     "prev_year_revenue",
@@ -137,8 +142,9 @@ def mrr_monthly(silver_tx: DataFrame) -> DataFrame:
     previous month (MRR), those customers, and all active customers/revenue."""
     cm = (_completed(silver_tx).groupBy("customer_id", _month("transaction_date").alias("month"))
           .agg(R.exact_sum("amount_usd", as_double=False).alias("rev")))
-    prev = cm.select("customer_id", F.add_months("month", 1).alias("month"), F.lit(True).alias("repeat"))
-    j = cm.join(prev, ["customer_id", "month"], "left")
+    # a customer has at most one row a month here, so the window is bounded by the calendar
+    before = F.lag("month").over(Window.partitionBy("customer_id").orderBy("month"))
+    j = cm.withColumn("repeat", F.add_months(before, 1) == F.col("month"))
     repeat = F.coalesce(F.col("repeat"), F.lit(False))
     return j.groupBy("month").agg(
         F.coalesce(F.sum(F.when(repeat, F.col("rev"))), F.lit(0).cast("decimal(28,4)")).cast("double").alias("mrr"),
@@ -147,11 +153,15 @@ def mrr_monthly(silver_tx: DataFrame) -> DataFrame:
         F.sum("rev").cast("double").alias("total_revenue_usd"))
 
 
-def churn_by_segment(silver_tx: DataFrame, silver_cust: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
+def churn_by_segment(silver_tx: DataFrame, spending: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """K8: among customers with a completed transaction, the share whose last one
-    is older than ``active_customer_days`` before as_of, per customer_segment."""
+    is older than ``active_customer_days`` before as_of, per customer segment.
+
+    ``spending`` is the customer transaction summary (B9): the segment depends
+    on spend alone, so customers without a valid profile count too.
+    """
     last = _completed(silver_tx).groupBy("customer_id").agg(F.max("transaction_date").alias("last_date"))
-    seg = silver_cust.select("customer_id", "customer_segment").distinct()
+    seg = spending.select("customer_id", R.customer_segment("total_spent").alias("customer_segment"))
     cutoff = R.date_lit(R.days_before(cfg.as_of, cfg.active_customer_days))
     churned = F.col("last_date") < cutoff
     return (last.join(seg, "customer_id").groupBy("customer_segment")
@@ -191,10 +201,10 @@ def rfm_quintiles(tx_metrics: DataFrame, partitions: int | None = None) -> DataF
                        (F.col("r_quintile") + F.col("f_quintile") + F.col("m_quintile")).alias("rfm_quintile_total"))
 
 
-def system_log_metrics(bronze_logs: DataFrame) -> DataFrame:
+def system_log_metrics(bronze_logs: DataFrame, tolerant: bool = False) -> DataFrame:
     """Per service and hour - requests, error share (level ERROR), 5xx share,
     average and exact 95th-percentile response time."""
-    hour = F.date_trunc("hour", R.to_ts("timestamp")).cast("timestamp_ntz")
+    hour = R.hour_start(R.to_ts("timestamp", tolerant))
     return (bronze_logs.groupBy("service", hour.alias("hour"))
             .agg(F.count(F.lit(1)).alias("requests"),
                  R.count_when(F.col("level") == "ERROR").alias("errors"),

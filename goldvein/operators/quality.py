@@ -7,6 +7,7 @@ what it collects is that small result: one row per bronze table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -27,8 +28,8 @@ VALIDATION_SCHEMA = T.StructType([
 ])
 
 
-def _validate_one(name: str, df: DataFrame, as_of: date, tolerance: float) -> DataFrame:
-    processed_day = F.to_date(R.to_ts("processed_at"))
+def _validate_one(name: str, df: DataFrame, as_of: date, tolerance: float, tolerant: bool) -> DataFrame:
+    processed_day = F.to_date(R.to_ts("processed_at", tolerant))
     agg = df.agg(
         R.count_when(processed_day == R.date_lit(as_of)).alias("count"),
         (F.count(F.lit(1)) - F.countDistinct("event_id")).alias("duplicates"),
@@ -40,24 +41,25 @@ def _validate_one(name: str, df: DataFrame, as_of: date, tolerance: float) -> Da
         F.lit(None).cast("string").alias("error"))
 
 
-def validate_bronze(spark: SparkSession, tables: dict[str, DataFrame | str],
-                    cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
+def validate_bronze(spark: SparkSession, tables: dict[str, DataFrame | str | Callable[[], DataFrame]],
+                    cfg: PipelineConfig = C.DEFAULT, expected: tuple[str, ...] = ()) -> DataFrame:
     """DQ1: rows processed on ``as_of`` and duplicate event ids over the whole table.
 
     PASS iff count > 0 and duplicates = 0 (or within ``cfg.duplicate_tolerance``);
-    a table that cannot be read or resolved gives an ERROR row with the message.
-    Values of ``tables`` are DataFrames or Parquet paths.
+    a table that cannot be read, resolved or aggregated gives an ERROR row with
+    the message, and so does one of ``expected`` that is not there at all. Values
+    of ``tables`` are DataFrames, Parquet paths or functions that read one.
+    Each table's check runs here by itself and yields one row, so that one
+    failing table leaves the others their results.
     """
-    parts = []
+    rows: list[tuple] = [(name, None, None, "ERROR", "the table is missing") for name in expected if name not in tables]
     for name, src in tables.items():
         try:
-            df = spark.read.parquet(src) if isinstance(src, str) else src
-            part = _validate_one(name, df, cfg.as_of, cfg.duplicate_tolerance)
-            part.schema  # resolve now so a missing table or column becomes ERROR
+            df = spark.read.parquet(src) if isinstance(src, str) else src() if callable(src) else src
+            rows.append(tuple(_validate_one(name, df, cfg.as_of, cfg.duplicate_tolerance, cfg.tolerant_casts).first()))
         except Exception as e:  # noqa: BLE001 - isolate each table, as the reference does
-            part = spark.createDataFrame([(name, None, None, "ERROR", str(e)[:1000])], VALIDATION_SCHEMA)
-        parts.append(part)
-    return reduce(DataFrame.unionByName, parts)
+            rows.append((name, None, None, "ERROR", str(e)))
+    return spark.createDataFrame(rows, VALIDATION_SCHEMA)
 
 
 def quality_gate(results: DataFrame) -> bool:
@@ -101,16 +103,20 @@ def completeness(df: DataFrame, table_name: str, columns: list[str],
 
 
 def volume(df: DataFrame, ts_col: str, table_name: str, min_rows: int = C.MIN_ROW_COUNT,
-           max_change_pct: float = 50.0) -> DataFrame:
+           max_change_pct: float = 50.0, tolerant: bool = False) -> DataFrame:
     """DQ5: rows per day >= ``min_rows`` and change vs the previous calendar day within
     +-``max_change_pct`` percent (a day without a previous day only needs the minimum).
 
-    The previous day is found with an equi-join on day - 1, not a global window.
+    One scan: each day's count is also offered to the next day (two rows a day). Rows
+    without a day (``tolerant`` casts) are counted as a day of their own, null.
     """
-    daily = (df.groupBy(F.to_date(R.to_ts(ts_col)).alias("day"))
+    daily = (df.groupBy(F.to_date(R.to_ts(ts_col, tolerant)).alias("day"))
              .agg(F.count(F.lit(1)).alias("row_count")))
-    prev = daily.select(F.date_add("day", 1).alias("day"), F.col("row_count").alias("prev_day_count"))
-    j = daily.join(prev, "day", "left")
+    offers = daily.select(F.explode(F.array(*[
+        F.struct(F.date_add("day", n).alias("day"), F.lit(n).alias("back"), "row_count") for n in (0, 1)])).alias("o"))
+    of = lambda n: F.max(F.when(F.col("o.back") == n, F.col("o.row_count")))
+    j = (offers.groupBy(F.col("o.day").alias("day")).agg(of(0).alias("row_count"), of(1).alias("prev_day_count"))
+         .where("row_count is not null").withColumn("prev_day_count", F.when(F.col("day").isNotNull(), F.col("prev_day_count"))))
     change = F.when(F.col("prev_day_count") > 0,
                     (F.col("row_count") - F.col("prev_day_count")).cast("double")
                     / F.col("prev_day_count") * F.lit(100.0))
@@ -156,9 +162,14 @@ def uniqueness(df: DataFrame, table_name: str, keys: list[str]) -> DataFrame:
 
 
 def freshness(df: DataFrame, ts_col: str, table_name: str, now: datetime,
-              max_age_hours: int = C.FRESHNESS_HOURS) -> DataFrame:
-    """DQ8: newest row must be within ``max_age_hours`` of ``now``."""
-    newest = df.agg(F.max(R.to_ts(ts_col)).alias("newest"))
+              max_age_hours: int = C.FRESHNESS_HOURS, tolerant: bool = False) -> DataFrame:
+    """DQ8: the newest row not after ``now`` must be within ``max_age_hours`` of it.
+
+    Rows dated after ``now`` (one wrong date would hide a stale table) don't
+    count as fresh; a table that has only such rows fails.
+    """
+    ts = R.to_ts(ts_col, tolerant)
+    newest = df.agg(F.max(F.when(ts <= R.ts_ntz(now), ts)).alias("newest"))
     lag_us = F.timestamp_diff("MICROSECOND", F.col("newest"), R.ts_ntz(now))
     limit = R.ts_ntz(now - timedelta(hours=max_age_hours))
     return newest.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import products as P
+from ..operators import silver as S
 from .catalog import L, query, stat6
 from .oracle_ctes import cte, with_ctes, xavg, xsum
 
@@ -137,11 +138,14 @@ SELECT s.customer_segment, COUNT(*) AS customers,
   COUNT(CASE WHEN l.last_date < DATE '2024-01-01' THEN 1 END) AS churned,
   CAST(COUNT(CASE WHEN l.last_date < DATE '2024-01-01' THEN 1 END) AS DOUBLE) / COUNT(*) * {HUNDRED} AS churn_rate_pct
 FROM (SELECT customer_id, MAX(transaction_date) AS last_date FROM completed_tx GROUP BY customer_id) l
-JOIN (SELECT DISTINCT customer_id, customer_segment FROM silver_customers) s ON l.customer_id = s.customer_id
-GROUP BY s.customer_segment""", "completed_tx", "silver_customers"))
+JOIN (SELECT customer_id, CASE WHEN SUM(amount) >= 1000 THEN 'High Value' WHEN SUM(amount) >= 100 THEN 'Medium Value'
+        ELSE 'Low Value' END AS customer_segment
+      FROM bronze_transaction_events WHERE customer_id IS NOT NULL GROUP BY customer_id) s ON l.customer_id = s.customer_id
+GROUP BY s.customer_segment""", "completed_tx", "bronze_transaction_events"))
 def q_churn_by_segment(spark, sf_dir):
     layers = L(spark, sf_dir)
-    return P.churn_by_segment(layers.silver_tx, layers.silver_cust, layers.cfg)
+    return P.churn_by_segment(layers.silver_tx, S.customer_transaction_summary(layers.bronze.transaction_events, layers.cfg),
+                              layers.cfg)
 
 
 @query("rfm_segments", with_ctes(f"""

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from .catalog import L, query
@@ -33,6 +36,29 @@ def q_bronze_validation(spark, sf_dir):
     return Q.validate_bronze(spark, layers.bronze.by_table(), layers.cfg)
 
 
+# The same check where it passes, fails and breaks: a day with rows and the same rows without that
+# day (half of the rows may be duplicates), a processed_at that is no timestamp, a table that isn't there.
+_day = "processed_at LIKE '2024-01-15%'"
+_states_sql = " UNION ALL ".join(f"""
+SELECT '{name}' AS table_name, c AS "count", dup AS duplicates,
+  CASE WHEN c > 0 AND dup <= FLOOR(total * 0.5) THEN 'PASS' ELSE 'FAIL' END AS status, false AS has_error
+FROM (SELECT COUNT(CASE WHEN {_day} THEN 1 END) AS c, COUNT(*) - COUNT(DISTINCT event_id) AS dup, COUNT(*) AS total
+      FROM bronze_customer_events WHERE {rows}) x""" for name, rows in (("passes", "true"), ("fails", f"NOT {_day}"))) + """
+UNION ALL SELECT 'breaks', NULL, NULL, 'ERROR', true
+UNION ALL SELECT 'is_missing', NULL, NULL, 'ERROR', true"""
+
+
+@query("bronze_validation_states", with_ctes(_states_sql, "bronze_customer_events"))
+def q_bronze_validation_states(spark, sf_dir):
+    layers = L(spark, sf_dir)
+    events = layers.bronze.customer_events
+    cfg = replace(layers.cfg, as_of=date(2024, 1, 15), duplicate_tolerance=0.5)
+    tables = {"passes": events, "breaks": events.withColumn("processed_at", F.lit("not a time")),
+              "fails": events.where(f"NOT {_day}")}
+    return Q.validate_bronze(spark, tables, cfg, expected=("passes", "is_missing")).select(
+        "table_name", "count", "duplicates", "status", F.col("error").isNotNull().alias("has_error"))
+
+
 # ---- DQ3 ----------------------------------------------------------------------------------
 
 @query("dq_row_checks", with_ctes(f"""
@@ -78,7 +104,7 @@ def q_dq_completeness(spark, sf_dir):
 
 # ---- DQ5 ----------------------------------------------------------------------------------
 
-VOLUME_TABLES = ("bronze_customer_events", "bronze_system_logs")
+VOLUME_TABLES = BRONZE
 
 _volume_sql = " UNION ALL ".join(f"""
 SELECT '{t}' AS table_name, a.day, a.row_count, p.row_count AS prev_day_count,
@@ -163,7 +189,8 @@ _freshness_sql = " UNION ALL ".join(f"""
 SELECT '{t}' AS table_name, newest,
   CAST(date_diff('microsecond', newest, {RUN_TS}) AS DOUBLE) / CAST(60000000.0 AS DOUBLE) AS lag_minutes,
   CASE WHEN newest >= {RUN_TS} - INTERVAL 2 HOUR THEN 'PASS' ELSE 'FAIL' END AS status
-FROM (SELECT MAX(CAST(processed_at AS TIMESTAMP)) AS newest FROM {t}) x""" for t in BRONZE)
+FROM (SELECT MAX(CAST(processed_at AS TIMESTAMP)) AS newest FROM {t}
+      WHERE CAST(processed_at AS TIMESTAMP) <= {RUN_TS}) x""" for t in BRONZE)
 
 
 @query("dq_freshness", with_ctes(_freshness_sql, *BRONZE))

@@ -17,8 +17,6 @@ from ..streaming import windows as W
 from .catalog import L, query
 from .oracle_ctes import with_ctes
 
-LANDING_SHARDS = 4
-
 
 def _fields(schema) -> str:
     return ", ".join(f.name for f in schema.fields)
@@ -28,10 +26,17 @@ def _land(layers, bronze_df, schema, deliveries: int = 1) -> str:
     path = scratch_path(layers.spark, "landing")
     env = to_envelope(bronze_df, schema)
     for _ in range(deliveries):
-        write_landing(env, path, LANDING_SHARDS)
+        write_landing(env, path)
     return path
 
 
+def _bronze(layers, landing, schema):
+    """What the ingest writes of a landing folder, read back."""
+    out = scratch_path(layers.spark, "bronze")
+    I.start_ingest(layers.spark, landing, schema, f"{out}/table", f"{out}/_checkpoints", layers.cfg).await_all()
+    return I.read_bronze(layers.spark, f"{out}/table", schema)
+
+
 @query("event_envelope", with_ctes(f"""
 SELECT {_fields(TRANSACTION_EVENT)}, kinesis_sequence_number,
   COALESCE(customer_id, event_id, 'default') AS kinesis_partition_key
@@ -81,11 +86,12 @@ def q_stream_sessions(spark, sf_dir):
     """30-minute-gap sessions per customer from the event stream; closed sessions only."""
     layers = L(spark, sf_dir)
     landing = _land(layers, layers.bronze.customer_events, CUSTOMER_EVENT)
-    events = I.valid_events(I.decode(I.envelope_stream(spark, landing), CUSTOMER_EVENT, layers.cfg),
-                            CUSTOMER_EVENT)
+    source = I.envelope_stream(spark, landing, max_files_per_trigger=2)  # several micro-batches
+    events = I.valid_events(I.decode(source, CUSTOMER_EVENT, layers.cfg), CUSTOMER_EVENT)
     out = scratch_path(spark, "sessions")
-    W.run_to_parquet(W.customer_sessions(spark, events, layers.cfg.session_gap), f"{out}/data", f"{out}/_ckpt")
-    return spark.read.parquet(f"{out}/data")
+    late = W.run_to_parquet(W.customer_sessions(spark, events, layers.cfg.session_gap), f"{out}/data", f"{out}/_ckpt")
+    emitted = spark.read.parquet(f"{out}/data")
+    return W.complete_sessions(emitted, _bronze(layers, landing, CUSTOMER_EVENT), layers.cfg.session_gap) if late else emitted
 
 
 @query("stream_hourly_counts", with_ctes("""
@@ -100,8 +106,29 @@ def q_stream_hourly_counts(spark, sf_dir):
     """Hourly events and 5xx per service and level from the system-log stream; closed windows only."""
     layers = L(spark, sf_dir)
     landing = _land(layers, layers.bronze.system_logs, SYSTEM_LOG)
-    logs = I.valid_events(I.decode(I.envelope_stream(spark, landing), SYSTEM_LOG, layers.cfg), SYSTEM_LOG)
+    source = I.envelope_stream(spark, landing, max_files_per_trigger=2)  # several micro-batches
+    logs = I.valid_events(I.decode(source, SYSTEM_LOG, layers.cfg), SYSTEM_LOG)
     out = scratch_path(spark, "hourly")
-    W.run_to_parquet(W.hourly_log_counts(spark, logs), f"{out}/data", f"{out}/_ckpt")
+    late = W.run_to_parquet(W.hourly_log_counts(spark, logs), f"{out}/data", f"{out}/_ckpt")
+    if late:
+        return W.complete_hourly_counts(_bronze(layers, landing, SYSTEM_LOG))
     return spark.read.parquet(f"{out}/data").select(
         "window_start", "window_end", "service", "level", "n_events", F.col("n_5xx"))
+
+
+@query("bronze_stream_and_batch", with_ctes(f"""
+SELECT {_fields(TRANSACTION_EVENT)} FROM bronze_transaction_events""", "bronze_transaction_events"))
+def q_bronze_stream_and_batch(spark, sf_dir):
+    """One table written by the stream, then in batch, then by the stream again; every row reads back."""
+    layers = L(spark, sf_dir)
+    events = layers.bronze.transaction_events
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    out, landing = scratch_path(spark, "bronze"), scratch_path(spark, "landing")
+    for part in range(3):
+        rows = events.where(third == part)
+        if part == 1:
+            I.append_bronze(rows, f"{out}/table", TRANSACTION_EVENT)
+        else:
+            write_landing(to_envelope(rows, TRANSACTION_EVENT), landing)
+            I.start_ingest(spark, landing, TRANSACTION_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg).await_all()
+    return I.read_bronze(spark, f"{out}/table", TRANSACTION_EVENT).select(*[f.name for f in TRANSACTION_EVENT.fields])

@@ -28,12 +28,14 @@ def to_envelope(events: DataFrame, payload_schema: T.StructType,
                          payload.alias("data"))
 
 
-def write_landing(envelopes: DataFrame, path: str, shards: int) -> None:
-    """Append one batch of records as ``shards`` files.
+def write_landing(envelopes: DataFrame, path: str, shards: int | None = None) -> None:
+    """Append one batch of records, one file per shuffle partition (sized by the session and
+    AQE from the data) or exactly ``shards`` files.
 
     Files are ranges of (partition key, sequence number): each key's records
     stay contiguous and in sequence order, and a key holding a large share of
     the batch is split over several files instead of filling one.
     """
-    (envelopes.repartitionByRange(shards, "partition_key", "sequence_number")
-     .write.mode("append").json(path))
+    keys = ("partition_key", "sequence_number")
+    ranged = envelopes.repartitionByRange(shards, *keys) if shards else envelopes.repartitionByRange(*keys)
+    (ranged.write.mode("append").json(path))

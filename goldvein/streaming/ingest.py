@@ -23,7 +23,7 @@ partitioned by record_status (valid | quarantined)
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
 from ..config import PipelineConfig
+from ..functions import rules as R
 from ..schemas import ENVELOPE, STREAMS, with_lineage
+from ..session import path_exists
 
 CORRUPT_ENVELOPE = "_corrupt_record"
 CORRUPT_PAYLOAD = "_corrupt_payload"
@@ -62,17 +64,16 @@ def envelopes_from_records(records: DataFrame, key: str = "key", value: str = "v
                           F.col(value).cast("string").alias("data"))
 
 
-def event_time(ts_text: Column | str) -> Column:
-    """Event-time column for watermarks: ISO text read as a UTC instant; NULL if unparseable."""
-    c = F.col(ts_text) if isinstance(ts_text, str) else ts_text
-    return F.concat(c, F.lit("Z")).try_cast("timestamp")
-
-
-def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
+def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConfig = C.DEFAULT,
+           per_batch_time: bool = False) -> DataFrame:
     """S2 + S3: parse the payload, add lineage columns, flag invalid rows.
 
-    Works on batch and streaming DataFrames alike.
+    Works on batch and streaming DataFrames alike. ``processed_at`` is the run
+    timestamp, or, for a query that keeps running (``per_batch_time``), the time
+    of each micro-batch in UTC.
     """
+    processed_at = (F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+                    if per_batch_time else F.lit(cfg.run_ts_string()))
     parse_schema = T.StructType(list(payload_schema.fields) + [T.StructField(CORRUPT_PAYLOAD, T.StringType())])
     p = F.from_json("data", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_PAYLOAD})
     if CORRUPT_ENVELOPE not in envelopes.columns:
@@ -83,12 +84,12 @@ def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConf
               .when(F.col("data").isNull(), "missing payload")
               .when(F.col(f"p.{CORRUPT_PAYLOAD}").isNotNull(), "malformed payload")
               .when(F.col("p.event_id").isNull(), "missing event_id")
-              .when(event_time(F.col("p.timestamp")).isNull(), "bad timestamp"))
+              .when(R.utc_instant(F.col("p.timestamp")).isNull(), "bad timestamp"))
     return parsed.select(
         *fields,
         F.col("sequence_number").alias("kinesis_sequence_number"),
         F.col("partition_key").alias("kinesis_partition_key"),
-        F.lit(cfg.run_ts_string()).alias("processed_at"),
+        processed_at.alias("processed_at"),
         "partition_key", "sequence_number", "data",
         F.col(CORRUPT_ENVELOPE).alias("raw_record"),
         reason.alias("reason"),
@@ -141,41 +142,69 @@ def ingest_rows(decoded: DataFrame, payload_schema: T.StructType) -> DataFrame:
         F.xxhash64("data", "raw_record").alias(PAYLOAD_HASH))
 
 
+# A bronze table has one folder per writer. The stream's is read through its commit
+# log, which hides files that others put there; so the batch append has its own.
+STREAM, BATCH = "stream", "batch"
+
+
+def sink_schema(payload_schema: T.StructType) -> T.StructType:
+    """Columns of the stream's sink."""
+    rest = [f"q_{c}" for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"] + [RECORD_STATUS]
+    return T.StructType(list(with_lineage(payload_schema).fields) + [T.StructField(c, T.StringType()) for c in rest])
+
+
+def _part(spark: SparkSession, root: str, part: str, schema: T.StructType) -> DataFrame:
+    """One writer's folder with its declared schema; no rows where nothing was written yet."""
+    path = f"{root}/{part}"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def read_bronze(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
-    """The valid records of an ingest table (partition-pruned, via the commit log)."""
+    """The valid records of an ingest table, streamed and appended in batch."""
     cols = [f.name for f in with_lineage(payload_schema).fields]
-    return spark.read.parquet(root).where(F.col(RECORD_STATUS) == VALID).select(*cols)
+    streamed = _part(spark, root, STREAM, sink_schema(payload_schema)).where(F.col(RECORD_STATUS) == VALID)
+    return streamed.select(*cols).unionByName(_part(spark, root, BATCH, with_lineage(payload_schema)).select(*cols))
 
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+def read_quarantine(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
     """The rejected records of an ingest table, with their reason."""
-    return spark.read.parquet(root).where(F.col(RECORD_STATUS) == QUARANTINED).select(
-        *[F.col(f"q_{c}").alias(c) for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"], "processed_at")
+    rows = _part(spark, root, STREAM, sink_schema(payload_schema)).where(F.col(RECORD_STATUS) == QUARANTINED)
+    return rows.select(*[F.col(f"q_{c}").alias(c) for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"], "processed_at")
+
+
+def append_bronze(df: DataFrame, root: str, payload_schema: T.StructType) -> None:
+    """Batch form of the bronze sink (S4): append events to an ingest table."""
+    df.select(*[f.name for f in with_lineage(payload_schema).fields]).write.mode("append").parquet(f"{root}/{BATCH}")
 
 
 @dataclass
 class IngestQuery:
     query: StreamingQuery
+    seen: dict[int, tuple[int, int]] = field(default_factory=dict)  # batch id -> records read, quarantined
 
     def await_all(self) -> None:
-        self.query.awaitTermination()
+        while not self.query.awaitTermination(1):  # Spark keeps the last progress reports only: gather them on the way
+            self.counts()
 
     def counts(self) -> dict[str, int]:
-        """Records read and quarantined by this run (observed per micro-batch)."""
-        read = bad = 0
+        """Records read and quarantined by this run (observed per micro-batch).
+
+        An error if reports were lost, so that a count is never too low.
+        """
         for p in self.query.recentProgress:
             m = (p.get("observedMetrics") or {}).get("ingest")  # a Row per batch
             if m is not None:
-                read += int(m["records"] or 0)
-                bad += int(m["quarantined"] or 0)
-        return {"records_read": read, "records_quarantined": bad}
+                self.seen[p["batchId"]] = (int(m["records"] or 0), int(m["quarantined"] or 0))
+        if self.seen and len(self.seen) != max(self.seen) - min(self.seen) + 1:
+            raise RuntimeError("progress reports of some micro-batches were dropped before they were read")
+        return {"records_read": sum(r for r, _ in self.seen.values()), "records_quarantined": sum(q for _, q in self.seen.values())}
 
 
 def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, table_root: str,
                  checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
                  available_now: bool = True, processing_time: str | None = None,
                  max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None) -> IngestQuery:
-    """S1-S6 for one stream: one query, exactly-once into ``table_root`` (Parquet,
+    """S1-S6 for one stream: one query, exactly-once into ``table_root``/stream (Parquet,
     partitioned by record_status).
 
     The source is the landing folder, or any streaming DataFrame of envelopes
@@ -184,11 +213,11 @@ def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T
     ``processing_time="1 hour"`` keeps the query running instead.
     """
     source = envelopes if envelopes is not None else envelope_stream(spark, landing_dir, max_files_per_trigger)
-    decoded = decode(source, payload_schema, cfg).observe(
+    decoded = decode(source, payload_schema, cfg, per_batch_time=not available_now).observe(
         "ingest", F.count(F.lit(1)).alias("records"),
         F.count(F.when(F.col("reason").isNotNull(), 1)).alias("quarantined"))
     rows = deduplicate(ingest_rows(decoded, payload_schema), cfg.dedup_watermark)
-    w = (rows.writeStream.format("parquet").option("path", table_root)
+    w = (rows.writeStream.format("parquet").option("path", f"{table_root}/{STREAM}")
          .option("checkpointLocation", checkpoint_dir).partitionBy(RECORD_STATUS).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
     return IngestQuery(w.start())
@@ -196,13 +225,14 @@ def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T
 
 def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpoint_root: str,
                cfg: PipelineConfig = C.DEFAULT, streams: dict | None = None,
-               counts: dict | None = None) -> dict[str, str]:
+               counts: dict | None = None, max_files_per_trigger: int | None = None) -> dict[str, str]:
     """One independent ingest per stream; landing_root/<stream>/ -> bronze_root/<table>/.
 
     All streams are started, then awaited; a failing stream does not stop the
     others, and every failure is raised together at the end. Returns the
     table root of each stream (read it with ``read_bronze``); ``counts`` (if
     given) receives per-table records read and quarantined (D3).
+    ``max_files_per_trigger`` bounds a micro-batch, and with it the dedup state, on a backlog.
     """
     streams = streams or STREAMS
     running: dict[str, IngestQuery] = {}
@@ -212,7 +242,8 @@ def ingest_all(spark: SparkSession, landing_root: str, bronze_root: str, checkpo
         paths[table] = f"{bronze_root}/{table}"
         try:
             running[table] = start_ingest(spark, f"{landing_root}/{stream_name}", schema, paths[table],
-                                          f"{checkpoint_root}/{table}", cfg)
+                                          f"{checkpoint_root}/{table}", cfg,
+                                          max_files_per_trigger=max_files_per_trigger)
         except Exception as e:  # noqa: BLE001
             errors[table] = str(e)
     for table, q in running.items():

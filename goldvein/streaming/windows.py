@@ -5,16 +5,22 @@ emitted once the watermark (max event time seen minus the delay) passes its
 end, and its state is dropped then. Sessions are merged inside each input
 partition before the shuffle (see ``session.RECOMMENDED_CONF``), so a hot
 customer ships sessions rather than raw events.
+
+Landed files are not ordered by event time, so over several micro-batches rows
+may arrive behind the watermark; Spark drops them from the state. None is lost:
+``run_to_parquet`` returns how many were dropped, and ``complete_sessions`` and
+``complete_hourly_counts`` bring the emitted results to what all rows written to
+bronze give - for sessions by working out again only the keys whose emitted
+sessions don't account for their rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules as R
-from .ingest import event_time
+from ..operators.sessions import sessionize
 
 
 def utc_wall_clock(spark: SparkSession, c: Column) -> Column:
@@ -31,7 +37,7 @@ def customer_sessions(spark: SparkSession, events: DataFrame, gap: str = "30 min
     Session end = last event + gap. ``delay`` (default = gap) is the watermark
     delay; later events for a closed session are dropped by Spark as late.
     """
-    ts = event_time("timestamp")
+    ts = R.utc_instant("timestamp")
     keyed = events.where(F.col(key).isNotNull()).withColumn("event_ts", ts).where(F.col("event_ts").isNotNull())
     agg = (keyed.withWatermark("event_ts", delay or gap)
            .groupBy(key, F.session_window("event_ts", gap).alias("s"))
@@ -49,7 +55,7 @@ def customer_sessions(spark: SparkSession, events: DataFrame, gap: str = "30 min
 
 def hourly_log_counts(spark: SparkSession, logs: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Tumbling 1-hour windows per service and level: events and 5xx responses."""
-    keyed = logs.withColumn("event_ts", event_time("timestamp")).where(F.col("event_ts").isNotNull())
+    keyed = logs.withColumn("event_ts", R.utc_instant("timestamp")).where(F.col("event_ts").isNotNull())
     agg = (keyed.withWatermark("event_ts", delay)
            .groupBy(F.window("event_ts", "1 hour").alias("w"), "service", "level")
            .agg(F.count(F.lit(1)).alias("n_events"),
@@ -59,9 +65,53 @@ def hourly_log_counts(spark: SparkSession, logs: DataFrame, delay: str = "1 hour
                       "service", "level", "n_events", "n_5xx")
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append-mode, exactly-once Parquet sink; processes what is available and stops."""
+def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> int:
+    """Append-mode, exactly-once Parquet sink; processes what is available and stops.
+
+    Returns the number of rows that came behind the watermark and were dropped
+    from the state.
+    """
     q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    late: dict[int, int] = {}
+    ended = False
+    while not ended:  # Spark keeps the last progress reports only: gather them on the way
+        ended = q.awaitTermination(1)
+        late |= {p["batchId"]: sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]) for p in q.recentProgress}
+    return sum(late.values())
+
+
+def complete_sessions(emitted: DataFrame, events: DataFrame, gap: str = "30 minutes", delay: str | None = None,
+                      key: str = "customer_id") -> DataFrame:
+    """The closed sessions that all ``events`` give, from those a stream emitted.
+
+    ``events`` are the rows the stream was given, read from bronze. A key is
+    worked out again, by the batch operator that splits hot keys, if its
+    emitted sessions don't hold exactly its rows up to their end, or if it has
+    later rows that the final watermark has passed.
+    """
+    ts = F.col("event_ts")
+    rows = events.where(F.col(key).isNotNull()).withColumn("event_ts", R.to_ts("timestamp", tolerant=True)).where(ts.isNotNull())
+    newest = rows.agg((F.max(ts) - F.expr(f"INTERVAL {delay or gap}"))).first()[0]  # one value
+    horizon = R.ts_ntz(newest) if newest else F.lit(None).cast("timestamp_ntz")
+    ends = emitted.groupBy(key).agg(F.max("session_end").alias("_until"), F.sum("n_events").alias("_held"))
+    seen = (rows.join(ends, key, "left")
+            .groupBy(key).agg(
+                F.count(F.when(ts <= F.col("_until"), 1)).alias("_rows"), F.coalesce(F.max("_held"), F.lit(0)).alias("_held"),
+                F.count(F.when((F.col("_until").isNull() | (ts > F.col("_until"))) & (ts + F.expr(f"INTERVAL {gap}") <= horizon), 1))
+                .alias("_left")))
+    again = seen.where("_rows <> _held or _left > 0").select(key)
+    fixed = sessionize(rows.join(again, key, "left_semi"), key, "event_ts", gap).select(*emitted.columns)
+    return emitted.join(again, key, "left_anti").unionByName(fixed.where(F.col("session_end") <= horizon))
+
+
+def complete_hourly_counts(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """The closed hourly windows that all ``logs`` give, as ``hourly_log_counts`` emits them when no row is late."""
+    rows = logs.withColumn("event_ts", R.to_ts("timestamp", tolerant=True)).where("event_ts is not null")
+    counts = rows.groupBy(R.hour_start(F.col("event_ts")).alias("window_start"), "service", "level").agg(
+        F.count(F.lit(1)).alias("n_events"), R.count_when(F.col("status_code") >= 500).alias("n_5xx"))
+    end = F.col("window_start") + F.expr("INTERVAL 1 HOUR")
+    newest = rows.agg((F.max("event_ts") - F.expr(f"INTERVAL {delay}"))).first()[0]  # one value
+    horizon = R.ts_ntz(newest) if newest else F.lit(None).cast("timestamp_ntz")
+    return counts.where(end <= horizon).select(
+        "window_start", end.alias("window_end"), "service", "level", "n_events", "n_5xx")

@@ -7,6 +7,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from goldvein.config import PipelineConfig
+from goldvein.functions import rules as R
 from goldvein.schemas import CUSTOMER_EVENT
 from goldvein.sources.driver_tables import load_bronze
 from goldvein.sources.landing import to_envelope, write_landing
@@ -36,7 +37,7 @@ def run(spark, landing, out):
     q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_ckpt", CFG)
     q.await_all()
     run.last_counts = q.counts()
-    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT), I.read_quarantine(spark, f"{out}/table")
+    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT), I.read_quarantine(spark, f"{out}/table", CUSTOMER_EVENT)
 
 
 def test_ingest_quarantine_dedup_late_and_rerun(spark, tmp_dir):
@@ -103,3 +104,41 @@ def test_unknown_payload_fields_do_not_change_the_schema(spark):
     out = I.valid_events(I.decode(env, PRODUCT_EVENT, CFG), PRODUCT_EVENT)
     shape = lambda s: [(f.name, f.dataType) for f in s.fields]
     assert shape(out.schema) == shape(BRONZE_SCHEMAS["bronze_product_events"]) and out.count() == 2
+
+
+def test_batch_and_stream_rows_both_read_back_in_either_order(spark, tmp_dir):
+    bronze = load_bronze(spark, SF_SMALL).customer_events
+    for order in ("batch first", "stream first"):
+        out, landing = os.path.join(tmp_dir, order, "table"), os.path.join(tmp_dir, order, "landing")
+        write_landing(to_envelope(bronze, CUSTOMER_EVENT), landing, 2)
+        steps = [lambda: I.append_bronze(bronze, out, CUSTOMER_EVENT),
+                 lambda: I.start_ingest(spark, landing, CUSTOMER_EVENT, out, f"{out}-ckpt", CFG).await_all()]
+        for step in steps if order == "batch first" else steps[::-1]:
+            step()
+        assert I.read_bronze(spark, out, CUSTOMER_EVENT).count() == 2 * bronze.count()
+    assert I.read_bronze(spark, f"{tmp_dir}/nothing", CUSTOMER_EVENT).count() == 0
+
+
+def test_counts_over_more_batches_than_reports_are_kept(spark, tmp_dir):
+    bronze = load_bronze(spark, SF_SMALL).customer_events
+    landing, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "out")
+    write_landing(to_envelope(bronze, CUSTOMER_EVENT), landing, 5)
+    q = I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/t", f"{out}/c", CFG, max_files_per_trigger=1)
+    q.await_all()
+    assert q.counts() == {"records_read": bronze.count(), "records_quarantined": 0} and len(q.seen) > 2
+
+
+def test_zoned_and_date_only_timestamps(spark):
+    texts = ["2024-01-01T05:00:00", "2024-01-01T05:00:00Z", "2024-01-01T05:00:00+02:00", "2024-01-01", "2024-03-10 02:30:00", "soon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = df.select("t", R.to_ts("t", tolerant=True).cast("string").alias("ntz"), R.utc_instant("t").cast("long").alias("s"),
+                             R.hour_start(R.to_ts("t", tolerant=True)).cast("string").alias("h")).collect()
+            assert [r.ntz for r in rows] == ["2024-01-01 05:00:00"] * 3 + ["2024-01-01 00:00:00", "2024-03-10 02:30:00", None, None]
+            assert [r.s for r in rows] == [1704085200] * 3 + [1704067200, 1710037800, None, None]
+            assert rows[4].h == "2024-03-10 02:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
