@@ -23,7 +23,7 @@ from goldvein.session import build_session  # noqa: E402
 HEADLINE = ("silver_transactions", "silver_customers", "gold_customer_analytics", "gold_business_metrics",
             "bronze_validation")
 EXTRA = ("revenue_attribution", "silver_products", "silver_sessions", "system_log_metrics", "dq_uniqueness",
-         "stream_ingest_dedup")
+         "stream_ingest_dedup", "dq_referential", "rfm_quintiles", "stream_sessions", "mrr_monthly")
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
@@ -37,7 +37,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", 2 * cpus, app_name="goldvein-bench",
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "8g", "spark.sql.files.maxPartitionBytes": "4m",
+                                 "spark.sql.files.openCostInBytes": "256k"})
     timings: dict[str, float] = {}
     for name in HEADLINE + EXTRA:
         run_once(spark, name, sf_dir)  # warm-up

@@ -31,3 +31,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "customer_id" in df.columns
+
+
+def test_other_queries_stand_without_the_optional_subpackage(monkeypatch):
+    monkeypatch.setattr(E.importlib.util, "find_spec", lambda name: None)
+    assert E.queries() == QUERIES and E.oracle_sql() == ORACLES

@@ -7,6 +7,7 @@ import pytest
 from goldvein.config import PipelineConfig
 from goldvein.operators import gold_customer as GC
 from goldvein.operators import silver as S
+from goldvein.plans import pipeline
 from goldvein.plans.pipeline import run_pipeline
 from goldvein.schemas import STREAMS
 from goldvein.sources.driver_tables import load_bronze
@@ -31,8 +32,6 @@ def test_gate_stops_on_duplicate_event_ids(spark, tmp_dir):
 def test_full_run_with_tolerance(spark, tmp_dir):
     frames = land_all(spark, f"{tmp_dir}/landing")
     cfg = PipelineConfig(duplicate_tolerance=0.5)
-    with pytest.raises(ValueError, match="silver_uniqueness"):  # tests stop a run unless known
-        run_pipeline(spark, f"{tmp_dir}/stopped", cfg, landing_root=f"{tmp_dir}/landing")
     res = run_pipeline(spark, f"{tmp_dir}/out", cfg, landing_root=f"{tmp_dir}/landing",
                        known_failures=("silver_row_checks", "silver_uniqueness", "silver_referential", "gold_uniqueness"))
     for name in ("silver_transactions", "silver_customers", "gold_customer_analytics", "gold_business_metrics",
@@ -67,3 +66,12 @@ def test_a_quiet_stream_reaches_validation(spark, tmp_dir):
     rows = {r.table_name: r for r in spark.read.parquet(f"{tmp_dir}/out/quality/bronze_validation").collect()}
     assert rows["bronze_customer_events"]["count"] == 0 and rows["bronze_customer_events"].status == "FAIL"
     assert rows["bronze_system_logs"].status == "PASS"
+
+
+def test_a_failed_test_stops_the_run_unless_known(spark, tmp_dir):
+    rows = spark.createDataFrame([("t", "FAIL")], "table_name string, status string")
+    result = pipeline.RunResult()
+    with pytest.raises(ValueError, match="some_test"):
+        pipeline._record(spark, result, tmp_dir, "some_test", rows, PipelineConfig(), True)
+    pipeline._record(spark, result, tmp_dir, "known_test", rows, PipelineConfig(), False)
+    assert result.failed_checks == ["some_test", "known_test"]
