@@ -2,7 +2,8 @@
 
 Every line of every text is normalised (lower case, no white space at the
 ends). Two different normal forms are linked
-when their SimHashes (64 bits, over words) differ in at most ``MAX_BITS`` bits
+when their SimHashes (64 bits, over pairs of neighbouring words and the last
+word; single words would let frequent ones make unlike lines alike) differ in at most ``MAX_BITS`` bits
 and their edit similarity, 1 - edits / longer length, is ``SIMILARITY`` or
 more. Of each connected group of lines only the first occurrence stays, by
 (doc_id, line number).
@@ -17,8 +18,9 @@ more. Of each connected group of lines only the first occurrence stays, by
   ``MAX_BITS`` bits agree on at least two whole blocks, so lines meet on each
   pair of blocks (about 25 bits). In a bucket of two the pair is read off as
   minimum and maximum. In a larger one all members are verified against the
-  smallest (a star, not all pairs); only members that fail this are compared
-  with the rest of their bucket, so no link between different texts is lost.
+  smallest (a star, not all pairs). Members of a bucket that all stars together
+  have not connected are then compared with each other, so no two lines within
+  both limits end in different groups.
 
 Defined cases: null text has no lines; a line without letters or digits is
 never a duplicate and stays; repeated rows of one doc_id are the same document
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 from .common import components, saved
 
 MAX_BITS, SIMILARITY = 3, 0.8
+BROADCAST_IDS = 500_000  # candidate lines whose ids are sent to the scan that fetches their texts
 PART = 127  # words whose bits one-byte counters can count, sign included
 _LAST = 2 ** 63 - 1  # stands for a null doc_id in the order of occurrences
 
@@ -68,17 +71,22 @@ def simhashes(table: DataFrame) -> DataFrame:
     """(doc_id, line_no, id, sim) of every line of ``lines``."""
     key = ["row", "doc_id", "line_no", "id"]
     words = table.select(*key, F.split("norm", " ").alias("words"))
-    words = words.select(*key, (F.size("words") > PART).alias("long"), F.posexplode("words").alias("at", "word")).where("word <> ''")
-    h = F.xxhash64("word")
-    parts = words.groupBy(*key, "long", F.floor(F.col("at") / PART).cast("int").alias("part")).agg(F.count("*").alias("n"), *[
+    pairs = words.select(*key, (F.size("words") > PART).alias("long"), F.posexplode(F.arrays_zip(
+        F.col("words").alias("w"), F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))).alias("next"))).alias("at", "pair"))
+    h = F.xxhash64("pair.w", "pair.next")
+    parts = pairs.groupBy(*key, "long", F.floor(F.col("at") / PART).cast("int").alias("part")).agg(F.count("*").alias("n"), *[
         F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{j}") for j in range(8)])
-    ones = [F.shiftrightunsigned(f"s{b % 8}", b - b % 8).bitwiseAND(F.lit(255)) for b in range(64)]
-    short = parts.where("not long").select("doc_id", "line_no", "id", _majorities(ones, F.col("n")).alias("sim"))
+    ones = lambda of: [F.shiftrightunsigned(of(b % 8), b - b % 8).bitwiseAND(F.lit(255)) for b in range(64)]
+    sums = F.array(*[F.col(f"s{j}") for j in range(8)])
+    parts = saved(parts.select(*key, "n", F.when(~F.col("long"), _majorities(ones(lambda j: F.col(f"s{j}")), F.col("n"))).alias("sim"),
+                               F.when(F.col("long"), sums).alias("sums")), "line-parts")
     # lines of several parts: counters of 32 bits, two in a long
-    wide = parts.where("long").groupBy(*key).agg(F.sum("n").alias("n"), *[
-        F.sum(ones[b].bitwiseOR(F.shiftleft(ones[b + 32], 32))).alias(f"w{b}") for b in range(32)])
+    one = ones(lambda j: F.element_at("sums", j + 1))
+    wide = parts.where("sums is not null").groupBy(*key).agg(F.sum("n").alias("n"), *[
+        F.sum(one[b].bitwiseOR(F.shiftleft(one[b + 32], 32))).alias(f"w{b}") for b in range(32)])
     total = [F.col(f"w{b}").bitwiseAND(F.lit(0xFFFFFFFF)) for b in range(32)] + [F.shiftrightunsigned(f"w{b}", 32) for b in range(32)]
-    return short.unionByName(wide.select("doc_id", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
+    return parts.where("sums is null").select("doc_id", "line_no", "id", "sim") \
+        .unionByName(wide.select("doc_id", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -126,21 +134,19 @@ def line_links(found: DataFrame, table: DataFrame, max_bits: int = MAX_BITS, sim
     members = saved(keyed.join(buckets.where("n > 2").select("key", "low").hint("shuffle_hash"), "key").select("key", "id", "low"), "line-members")
     stars = members.where("id <> low").select(*_pair(F.col("id"), F.col("low"))).distinct()
     first = saved(_near(twos.unionByName(stars).distinct(), sims, max_bits), "line-pairs")
-
-    # members too far from the smallest of their bucket meet the rest of the bucket
-    def rest(failed: DataFrame) -> DataFrame:
-        other = failed.join(members.select("key", F.col("id").alias("other")), "key").where("id <> other")
-        return _near(other.select(*_pair(F.col("id"), F.col("other"))).distinct(), sims, max_bits)
-
-    own = members.where("id <> low").select("key", "id", *_pair(F.col("id"), F.col("low")))
-    far = own.join(first, ["a", "b"], "left_anti").select("key", "id")
-    pairs = saved(first.unionByName(rest(far)).distinct(), "line-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = saved(table.select("id", "norm").join(ids, "id", "left_semi").dropDuplicates(["id"]), "line-texts")
-    judged = saved(_alike(pairs, texts, similarity), "line-judged")
-    unlike = own.join(judged.where("not alike"), ["a", "b"], "left_semi").select("key", "id")
-    more = rest(unlike).join(judged, ["a", "b"], "left_anti")
-    return judged.where("alike").select("a", "b").unionByName(_alike(more, texts, similarity).where("alike").select("a", "b"))
+    ids = saved(first.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct(), "line-ids")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids  # 8 bytes each; beyond that a shuffled join
+    texts = saved(table.select("id", "norm").join(few, "id", "left_semi").dropDuplicates(["id"]), "line-texts")
+    near = saved(_alike(first, texts, similarity).where("alike").select("a", "b"), "line-links")
+
+    # in a bucket, only members that are not connected by now can still add a link
+    known = members.join(components(near, "a", "b").withColumnRenamed("node", "id"), "id", "left") \
+        .select("key", "id", F.coalesce("root", "id").alias("root"))
+    known = saved(known, "line-roots")
+    other = known.select("key", F.col("id").alias("other"), F.col("root").alias("other_root"))
+    cross = known.join(other, (known["key"] == other["key"]) & (F.col("root") < F.col("other_root")))
+    cross = _near(cross.select(*_pair(F.col("id"), F.col("other"))).distinct(), sims, max_bits).join(first, ["a", "b"], "left_anti")
+    return near.unionByName(_alike(cross, texts, similarity).where("alike").select("a", "b"))
 
 
 def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,

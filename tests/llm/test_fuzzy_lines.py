@@ -17,7 +17,9 @@ def norm(line):
 
 
 def simhash(text):
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split(" ") if w]
+    words = text.split(" ")
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    hashes[:-1] = [xxhash.xxh64_intdigest(w.encode(), h) for w, h in zip(words[1:], hashes)]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
