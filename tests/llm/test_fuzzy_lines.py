@@ -17,9 +17,7 @@ def norm(line):
 
 
 def simhash(text):
-    words = text.split(" ")
-    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-    hashes[:-1] = [xxhash.xxh64_intdigest(w.encode(), h) for w, h in zip(words[1:], hashes)]
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(text.split(" "))]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
@@ -45,7 +43,7 @@ def brute(docs):
 
     for i, a in enumerate(forms):
         for b in forms[:i]:
-            if (sims[a] ^ sims[b]).bit_count() <= 3 and edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
+            if (sims[a] ^ sims[b]).bit_count() <= L.MAX_BITS and edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
                 root[find(a)] = find(b)
     first = {}
     for d, n, f in sorted(lines, key=lambda x: x[:2]):
@@ -117,3 +115,19 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = L.simhashes(L.lines(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and F is not None
+
+
+def test_one_changed_word_is_found(spark):
+    # against edit similarity alone: lines of 40 words with one word changed
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(3, 9))) for _ in range(2000)]
+    docs = []
+    for d in range(0, 400, 2):
+        line = rng.sample(words, 40)
+        docs.append((d, " ".join(line)))
+        line[rng.randrange(40)] = rng.choice(words)
+        docs.append((d + 1, " ".join(line)))
+    assert all(edits(docs[d][1], docs[d + 1][1]) <= 0.2 * len(docs[d][1]) for d in range(0, 400, 2))
+    rows = got(spark, docs)
+    assert sum(rows[d + 1, 0] == (d, 0, False) for d in range(0, 400, 2)) >= 0.7 * 200
+    assert all(rows[d, 0][2] for d in range(0, 400, 2))
