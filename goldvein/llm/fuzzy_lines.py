@@ -1,7 +1,7 @@
 """Fuzzy line deduplication with DataFrame operations only.
 
-Every line of every text is normalised (lower case, no white space at the
-ends). Two different normal forms are linked
+Every line of every text is normalised (lower case; runs of characters other
+than letters and digits are one space). Two different normal forms are linked
 when their SimHashes (64 bits, over the distinct words, so that a frequent
 word counts once) differ in at most ``MAX_BITS`` bits and their edit similarity, 1 - edits / longer length, is ``SIMILARITY`` or
 more. Of each connected group of lines only the first occurrence stays, by
@@ -50,7 +50,7 @@ _LAST = 2 ** 63 - 1  # stands for a null doc_id in the order of occurrences
 
 
 def normal(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(" \t\n\x0b\f\r")))
+    return F.btrim(F.array_join(F.split(F.lower(line), "[^\\p{L}\\p{N}]+"), " "))
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,7 +58,7 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
     norm = normal(F.col("line")).alias("norm")
-    return rows.select("row", "doc_id", "line_no", norm).where(F.col("norm").rlike("[\\p{L}\\p{N}]")) \
+    return rows.select("row", "doc_id", "line_no", norm).where("norm <> ''") \
         .select("row", "doc_id", "line_no", F.xxhash64("norm").alias("id"), "norm")
 
 

@@ -12,8 +12,7 @@ SCHEMA = "doc_id long, text string, id string, norm string"
 
 
 def norm(line):
-    form = line.strip(" \t\n\x0b\f\r").lower()
-    return form if re.search(r"[^\W_]", form) else ""
+    return " ".join(re.findall(r"[^\W_]+", line.lower()))
 
 
 def simhash(text):
@@ -93,15 +92,15 @@ def test_close_pairs_in_large_buckets(spark):
 
 
 def test_odd_rows(spark):
-    docs = [(1, None), (2, ""), (3, "\n...\nAbcde f\n\naBcde F!"), (3, "\n...\nAbcde f\n\naBcde F!"), (None, "abcde f\nnew line"), (5, "abcde f \n***")]
+    docs = [(1, None), (2, ""), (3, "\n...\nA b\n\na B!"), (3, "\n...\nA b\n\na B!"), (None, "a b\nnew line"), (5, "a  b\n***")]
     rows = got(spark, docs)
-    assert rows == {(3, 2): (3, 2, True), (3, 4): (3, 4, True), (None, 0): (3, 2, False), (None, 1): (None, 1, True),
+    assert rows == {(3, 2): (3, 2, True), (3, 4): (3, 2, False), (None, 0): (3, 2, False), (None, 1): (None, 1, True),
                     (5, 0): (3, 2, False)}
     df = spark.createDataFrame([(d, t, "x", None) for d, t in docs], SCHEMA)
     out = L.without_duplicate_lines(df)
     assert out.columns == df.columns
     texts = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
-    assert texts == sorted([(1, None), (2, ""), (3, "\n...\nAbcde f\n\naBcde F!"), (3, "\n...\nAbcde f\n\naBcde F!"), (None, "abcde f\nnew line"), (5, "***")], key=str)
+    assert texts == sorted([(1, None), (2, ""), (3, "\n...\nA b\n"), (3, "\n...\nA b\n"), (None, "a b\nnew line"), (5, "***")], key=str)
 
 
 def test_empty_and_long(spark):
@@ -131,3 +130,8 @@ def test_one_changed_word_is_found(spark):
     rows = got(spark, docs)
     assert sum(rows[d + 1, 0] == (d, 0, False) for d in range(0, 400, 2)) >= 0.7 * 200
     assert all(rows[d, 0][2] for d in range(0, 400, 2))
+
+
+def test_punctuation_and_spaces_do_not_count(spark):
+    rows = got(spark, [(1, "Two words."), (2, "two  words"), (3, "Two, words!"), (4, "two word s")])
+    assert [rows[d, 0][2] for d in (1, 2, 3, 4)] == [True, False, False, True]
