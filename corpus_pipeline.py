@@ -8,10 +8,14 @@ written as Parquet to the shared checkpoint folder and read again:
 2. line dedup: duplicate lines leave the texts, n_chars follows; no row goes.
 3. SimHash near-dedup: of each component the document with the smallest doc_id stays.
 4. benchmark decontamination: documents that hold a benchmark item go.
-5. mixing: each document gets its copies; those with none go.
+5. mixing: each document gets its number of copies; those with none go.
+
+The last stage and ``run`` leave one row per document with its number of
+``copies``, a weighted list; ``corpus``, the registered query, emits each row
+that many times.
 
 Columns are those of documents until the last stage, which adds what the
-mixing decided.
+mixing decided; ``corpus`` adds ``copy``, from 1.
 """
 
 from __future__ import annotations
@@ -51,6 +55,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return entropy_mix.mix(docs).where("copies > 0")
 
 
+def copied(docs: DataFrame) -> DataFrame:
+    """Each row ``copies`` times, numbered from 1 in ``copy``."""
+    return docs.where("copies > 0").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))).alias("copy"))
+
+
 STAGES = [
     ("language ID", language_id),
     ("line dedup", line_dedup),
@@ -68,3 +77,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copied(run(spark, sf_dir))

@@ -73,3 +73,14 @@ def test_run_and_odd_rows(spark, tmp_path):
         items.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
     assert sorted(r.doc_id for r in P.run(spark, f"{tmp_path}/some").collect()) in ([2], [2, 3])
     assert P.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_each_copy_is_a_row(spark):
+    docs = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "doc_id long, copies int")
+    assert sorted(tuple(r) for r in P.copied(docs).collect()) == [(2, 1, 1), (3, 2, 1), (3, 2, 2)]
+
+
+def test_registered_query_emits_the_copies(monkeypatch, spark):
+    import __spark_entry__ as entry
+    monkeypatch.setattr(P, "run", lambda s, d: s.createDataFrame([(1, 2), (2, 1)], "doc_id long, copies int"))
+    assert sorted(r.doc_id for r in entry.queries()["pipeline"](spark, "").collect()) == [1, 1, 2]
