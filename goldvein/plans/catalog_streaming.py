@@ -89,9 +89,9 @@ def q_stream_sessions(spark, sf_dir):
     source = I.envelope_stream(spark, landing, max_files_per_trigger=2)  # several micro-batches
     events = I.valid_events(I.decode(source, CUSTOMER_EVENT, layers.cfg), CUSTOMER_EVENT)
     out = scratch_path(spark, "sessions")
-    late = W.run_to_parquet(W.customer_sessions(spark, events, layers.cfg.session_gap), f"{out}/data", f"{out}/_ckpt")
+    W.run_to_parquet(W.customer_sessions(spark, events, layers.cfg.session_gap), f"{out}/data", f"{out}/_ckpt")
     emitted = spark.read.parquet(f"{out}/data")
-    return W.complete_sessions(emitted, _bronze(layers, landing, CUSTOMER_EVENT), layers.cfg.session_gap) if late else emitted
+    return W.complete_sessions(emitted, _bronze(layers, landing, CUSTOMER_EVENT), layers.cfg.session_gap)
 
 
 @query("stream_hourly_counts", with_ctes("""

@@ -16,7 +16,7 @@ sessions don't account for their rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -87,8 +87,8 @@ def complete_sessions(emitted: DataFrame, events: DataFrame, gap: str = "30 minu
 
     ``events`` are the rows the stream was given, read from bronze. A key is
     worked out again, by the batch operator that splits hot keys, if its
-    emitted sessions don't hold exactly its rows up to their end, or if it has
-    later rows that the final watermark has passed.
+    emitted sessions don't hold exactly its rows up to their end or overlap, or
+    if it has later rows that the final watermark has passed.
     """
     ts = F.col("event_ts")
     rows = events.where(F.col(key).isNotNull()).withColumn("event_ts", R.to_ts("timestamp", tolerant=True)).where(ts.isNotNull())
@@ -100,7 +100,10 @@ def complete_sessions(emitted: DataFrame, events: DataFrame, gap: str = "30 minu
                 F.count(F.when(ts <= F.col("_until"), 1)).alias("_rows"), F.coalesce(F.max("_held"), F.lit(0)).alias("_held"),
                 F.count(F.when((F.col("_until").isNull() | (ts > F.col("_until"))) & (ts + F.expr(f"INTERVAL {gap}") <= horizon), 1))
                 .alias("_left")))
-    again = seen.where("_rows <> _held or _left > 0").select(key)
+    # a row within the gap of a session that was already emitted makes a second one that overlaps it
+    before = F.lag("session_end").over(Window.partitionBy(key).orderBy("session_start", "session_end"))
+    overlapping = emitted.select(key, (before >= F.col("session_start")).alias("_overlaps")).where("_overlaps").select(key)
+    again = seen.where("_rows <> _held or _left > 0").select(key).unionByName(overlapping).distinct()
     fixed = sessionize(rows.join(again, key, "left_semi"), key, "event_ts", gap).select(*emitted.columns)
     return emitted.join(again, key, "left_anti").unionByName(fixed.where(F.col("session_end") <= horizon))
 

@@ -142,3 +142,15 @@ def test_zoned_and_date_only_timestamps(spark):
             assert rows[4].h == "2024-03-10 02:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_overlapping_emitted_sessions_become_one(spark):
+    from goldvein.functions import rules as rules_
+    from goldvein.operators.sessions import sessionize
+    from goldvein.streaming import windows
+    schema = "customer_id long, timestamp string, action string, device_type string"
+    rows = [(1, "2024-01-01T10:00:00", "a", "x"), (1, "2024-01-01T10:20:00", "b", "x"), (2, "2024-01-01T20:00:00", "a", "x")]
+    parts = [spark.createDataFrame([r], schema).withColumn("event_ts", rules_.to_ts("timestamp", tolerant=True)) for r in rows[:2]]
+    one, two = [sessionize(p, "customer_id", "event_ts", "30 minutes") for p in parts]
+    whole = windows.complete_sessions(one.unionByName(two), spark.createDataFrame(rows, schema)).collect()
+    assert [(r.customer_id, r.n_events) for r in whole] == [(1, 2)]
