@@ -8,7 +8,8 @@ Rates: among all document rates in [0, cap] that meet every source's target,
 those nearest to 1 in relative entropy are the exponential tilts
 ``min(cap, exp(lambda_source * size / mean size))``. Newton's method on the
 convex dual finds each source's lambda. A rate depends on (source, size) only,
-so the distributed iterations run over the exact histogram of sizes; a step
+so the distributed iterations run over the exact histogram of sizes, summed in
+decimals so that reruns agree in every digit; a step
 that leaves the bracket of the root is replaced by bisection.
 
 Rounding: along the sizes of a source, whole copies follow the running sum of
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import ranked, saved, word_count
 
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
-TOLERANCE, MAX_STEPS, HASH_SLICES, MOVES = 1e-10, 100, 4096, 64
+TOLERANCE, MAX_STEPS, MOVES = 1e-10, 100, 64
+EXACT = "decimal(38,12)"  # in which words are summed, so that no sum depends on the order of the tasks
 ADDED = ("size", "source_size", "target", "rate", "copies", "taken")
 
 
@@ -49,7 +51,7 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
         all_words, fixed, weight, n = table.agg(
             F.sum("source_size"), F.sum(F.when(over, limit)), F.sum(F.when(~over, F.col("_weight"))),
             F.count(F.when(over, 1))).first()
-        if n == held or not weight:
+        if n == held or not weight or not all_words:
             break
         held, level = n if level else -1, (share * (all_words or 0) - (fixed or 0.0)) / weight
     return table.withColumn("target", F.least(limit, F.col("_weight") * F.lit(level)))
@@ -69,8 +71,8 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
         e = F.exp(F.least(F.col("lam") * x, F.lit(700.0)))
         words = F.col("n") * F.col("size")
         steps = sizes.where("size > 0").join(state.where("lam is not null"), "_rank").groupBy("_rank").agg(
-            F.sum(words * F.least(e, F.lit(float(cap)))).alias("mass"),
-            F.sum(F.when(e < cap, words * x * e).otherwise(0.0)).alias("slope"))
+            F.sum((words * F.least(e, F.lit(float(cap)))).cast(EXACT)).cast("double").alias("mass"),
+            F.sum(F.when(e < cap, words * x * e).otherwise(0.0).cast(EXACT)).cast("double").alias("slope"))
         gap = F.col("mass") - F.col("target")
         lo, hi = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")), F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - gap / F.col("slope")
