@@ -24,8 +24,8 @@ more. Of each connected group of lines only the first occurrence stays, by
   limits end in different groups.
 
 Defined cases: null text has no lines; a line without letters or digits is
-never a duplicate and stays; repeated rows of one doc_id are the same document
-and keep or lose the same lines; rows with a null doc_id come last and their
+never a duplicate and stays; repeated rows (one doc_id, one text) are the same
+document and keep or lose the same lines; unlike texts under one doc_id are judged apart; rows with a null doc_id come last and their
 texts are not changed by ``without_duplicate_lines``; a very long line costs
 time in proportion to length x edits; empty tables give empty
 results. Other columns pass through.
@@ -54,12 +54,16 @@ def normal(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0."""
+    """(row, doc_id, version, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0.
+
+    version: a hash of the text, which tells unlike rows of one doc_id apart.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("version"),
                        F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
     norm = normal(F.col("line")).alias("norm")
-    return rows.select("row", "doc_id", "line_no", norm).where("norm <> ''") \
-        .select("row", "doc_id", "line_no", F.xxhash64("norm").alias("id"), "norm")
+    return rows.select("row", "doc_id", "version", "line_no", norm).where("norm <> ''") \
+        .select("row", "doc_id", "version", "line_no", F.xxhash64("norm").alias("id"), "norm")
 
 
 def _majorities(ones: list[Column], n: Column) -> Column:
@@ -72,8 +76,8 @@ def _majorities(ones: list[Column], n: Column) -> Column:
 
 
 def simhashes(table: DataFrame) -> DataFrame:
-    """(doc_id, line_no, id, sim) of every line of ``lines``."""
-    key = ["row", "doc_id", "line_no", "id"]
+    """(doc_id, version, line_no, id, sim) of every line of ``lines``."""
+    key = ["row", "doc_id", "version", "line_no", "id"]
     words = table.select(*key, F.array_distinct(F.split("norm", " ")).alias("words"))
     words = words.select(*key, (F.size("words") > PART).alias("long"), F.posexplode("words").alias("at", "word"))
     h = F.xxhash64("word")
@@ -88,8 +92,8 @@ def simhashes(table: DataFrame) -> DataFrame:
     wide = parts.where("sums is not null").groupBy(*key).agg(F.sum("n").alias("n"), *[
         F.sum(one[b].bitwiseOR(F.shiftleft(one[b + 32], 32))).alias(f"w{b}") for b in range(32)])
     total = [F.col(f"w{b}").bitwiseAND(F.lit(0xFFFFFFFF)) for b in range(32)] + [F.shiftrightunsigned(f"w{b}", 32) for b in range(32)]
-    return parts.where("sums is null").select("doc_id", "line_no", "id", "sim") \
-        .unionByName(wide.select("doc_id", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
+    return parts.where("sums is null").select("doc_id", "version", "line_no", "id", "sim") \
+        .unionByName(wide.select("doc_id", "version", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -162,33 +166,38 @@ def line_links(found: DataFrame, table: DataFrame, max_bits: int = MAX_BITS, sim
     return near.unionByName(_alike(rest, _texts(rest, table), similarity).where("alike").select("a", "b"))
 
 
-def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
-                 similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, line_no, first_doc_id, first_line_no, kept) of every line that has a letter or digit."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, version, line_no, first_doc_id, first_line_no, kept) of every line that has a letter or digit."""
     table = lines(docs, id_col, text_col)
     found = saved(simhashes(table), "lines")
     links = line_links(found, table, max_bits, similarity)
     groups = components(links, "a", "b").select(F.col("node").alias("id"), F.col("root").alias("group"))
-    found = found.select("doc_id", "line_no", "id").join(groups, "id", "left") \
-        .select("doc_id", "line_no", F.coalesce("group", "id").alias("group"))
+    found = found.select("doc_id", "version", "line_no", "id").join(groups, "id", "left") \
+        .select("doc_id", "version", "line_no", F.coalesce("group", "id").alias("group"))
     found = saved(found, "line-groups")
     order = F.coalesce("doc_id", F.lit(_LAST))
-    firsts = found.groupBy("group").agg(F.min(order).alias("_doc"))
-    where = found.select("group", order.alias("_doc"), "line_no").join(firsts, ["group", "_doc"]) \
-        .groupBy("group", "_doc").agg(F.min("line_no").alias("first_line_no"))
-    out = found.join(where, "group")
-    kept = (order == F.col("_doc")) & (F.col("line_no") == F.col("first_line_no"))
-    return out.select("doc_id", "line_no", F.when(F.col("_doc") != _LAST, F.col("_doc")).alias("first_doc_id"),
-                      "first_line_no", kept.alias("kept"))
+    first = F.struct(order.alias("doc"), "line_no", "version")
+    firsts = found.groupBy("group").agg(F.min(first).alias("first"))
+    out = found.join(firsts, "group")
+    return out.select("doc_id", "version", "line_no", F.when(F.col("first.doc") != _LAST, F.col("first.doc")).alias("first_doc_id"),
+                      F.col("first.line_no").alias("first_line_no"), (first == F.col("first")).alias("kept"))
+
+
+def judged_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS,
+                 similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, line_no, first_doc_id, first_line_no, kept) of every line that has a letter or digit."""
+    return _judged(docs, id_col, text_col, max_bits, similarity).drop("version")
 
 
 def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the duplicate lines taken out of the texts; a text may become empty, no row goes."""
-    dropped = judged_lines(docs, id_col, text_col, **options).where("not kept and doc_id is not null") \
-        .groupBy(F.col("doc_id").alias("_of")).agg(F.collect_set("line_no").alias("_dropped"))
-    parts = F.split(F.col(text_col).cast("string"), "\n")
+    dropped = _judged(docs, id_col, text_col, **options).where("not kept and doc_id is not null") \
+        .groupBy(F.col("doc_id").alias("_of"), F.col("version").alias("_version")).agg(F.collect_set("line_no").alias("_dropped"))
+    whole = F.col(text_col).cast("string")
+    parts = F.split(whole, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_dropped"))
     text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(left, lambda i: F.element_at(F.col("_parts"), i + 1)), "\n"))
-    out = docs.join(dropped, F.col(id_col).cast("long") == F.col("_of"), "left").withColumn("_parts", parts)
+    same = (F.col(id_col).cast("long") == F.col("_of")) & (F.xxhash64(whole) == F.col("_version"))
+    out = docs.join(dropped, same, "left").withColumn("_parts", parts)
     return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -61,15 +61,17 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+                 shingle_words: int = SHINGLE_WORDS, extra: str | None = None) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; with ``extra`` also that long column, as ``extra``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    more = [F.col(extra).cast("long").alias("extra")] if extra else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    return rows.mapInArrow(run, "doc_id long, fp long" + (", extra long" if extra else ""))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -205,27 +207,39 @@ def _forest(nodes: DataFrame, max_bits: int) -> DataFrame:
             .groupBy("mask", "pattern", "block").applyInArrow(run, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    node_limit: int = NODE_LIMIT) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
-    prints = saved(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+def _grouped(prints: DataFrame, max_bits: int, node_limit: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint: root names the component, component_id is its smallest doc_id."""
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     tree = components(links(classes.select("fp"), max_bits, node_limit), "a", "b")
     rooted = classes.join(tree.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = saved(rooted.join(least, "root").select("fp", "component_id"), "components")
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    return saved(rooted.join(least, "root").select("fp", "root", "component_id"), "components")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                    node_limit: int = NODE_LIMIT) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
+    prints = saved(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    return prints.join(_grouped(prints, max_bits, node_limit), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Documents without near duplicates: of each component the smallest doc_id stays, one row.
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+             node_limit: int = NODE_LIMIT) -> DataFrame:
+    """Documents without near duplicates: of each component one row stays, of the smallest doc_id.
 
-    Rows with a null doc_id are never dropped as copies of another document.
-    Columns are those of ``docs``.
+    Rows are told apart by all their columns, so unlike texts under one doc_id
+    stay, each for its own component; of several rows that hold a component's smallest
+    doc_id the one with the smallest hash stays. Rows with a null doc_id are
+    never dropped as copies of another document. Columns are those of ``docs``.
     """
-    known = docs.where(F.col("doc_id").isNotNull())
-    keep = near_duplicates(known, **options).where("doc_id = component_id").select("doc_id").distinct()
-    once = known.join(keep, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn("_keep_row", row)
+    prints = saved(fingerprints(known, shingle_words=shingle_words, extra="_keep_row"), "fingerprints")
+    first = prints.join(_grouped(prints, max_bits, node_limit), "fp").where("doc_id = component_id") \
+        .groupBy("root").agg(F.min(F.struct("doc_id", "extra")).alias("f"))
+    keep = first.select(F.col("f.doc_id").alias("_keep_id"), F.col("f.extra").alias("_keep_hash"))
+    once = known.join(keep, (F.col("doc_id") == F.col("_keep_id")) & (F.col("_keep_row") == F.col("_keep_hash")), "left_semi")
+    once = once.dropDuplicates(["doc_id", "_keep_row"]).select(*docs.columns)
     return once.unionByName(docs.where(F.col("doc_id").isNull()))
