@@ -56,8 +56,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copied(docs: DataFrame) -> DataFrame:
-    """Each row ``copies`` times, numbered from 1 in ``copy``."""
-    return docs.where("copies > 0").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))).alias("copy"))
+    """Each row ``copies`` times, numbered from 1 in ``copy``, which replaces a column of that name."""
+    return docs.drop("copy").where("copies > 0").select(
+        "*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))).alias("copy"))
 
 
 STAGES = [
