@@ -38,6 +38,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,15 +55,16 @@ LOW, WORD = np.uint64(1 << 31), np.uint64(32)  # a state is LOW or more and unde
 MAGIC, HEADER, TAIL = b"GVRANS1\n", struct.Struct("<8sBHI"), struct.Struct("<QII8s")
 CHECKPOINT = np.dtype([("offset", "<u8"), ("size", "<u4"), ("n_docs", "<u4"), ("n_ids", "<u4"), ("ids_before", "<u8"),
                        ("docs_before", "<u8"), ("crc", "<u4"), ("ids_crc", "<u4"), ("open", "u1")])
-MEMO = 400_000  # pieces a task remembers
-STRETCH = 1 << 20  # characters tokenized at a time
+MEMO = 600_000  # words, and as many of their pieces, that a task remembers
+STRETCH = 1 << 20  # bytes tokenized at a time
 
 # Letters of Latin and Cyrillic script that neither change their kind when lower-cased nor hold a mark.
 _LETTER = "a-zÀ-ÖØ-öø-įı-ɏЀ-ҁҊ-ԯ"
 #: Pieces that no token crosses: letters, a digit, ASCII punctuation, or else the rest up to white space.
 _PIECE = re.compile(f"[{_LETTER}]++(?![^\\x00-\\x7f])|[0-9](?![^\\x00-\\x7f])"
                     "|[!-&(-/:-@\\[-`{-~]++(?!['\\x00-\\x08\\x0e-\\x1f\\x7f-\U0010ffff])|[^ \\t\\n\\r\\x0b\\x0c]+")
-_SPACE = re.compile("[ \\t\\n\\r\\x0b\\x0c]")
+_WORD = re.compile(f"[{_LETTER}]+")
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -71,49 +73,68 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Memo(dict):
+    """Results by key, made when first asked for; up to ``MEMO`` stay, until too many others were wanted."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.missed = make, 0
+
+    def __missing__(self, key):
+        made = self.make(key)
+        if len(self) < MEMO and len(key) <= 32:
+            self[key] = made
+        else:
+            self.missed += 1
+            if self.missed > 4 * MEMO:
+                self.clear()
+                self.missed = 0
+        return made
+
+
 class Encoder:
-    """Texts to ids; ``ids`` equals the library's result for the whole text."""
+    """Texts to ids, equal to the library's result for each whole text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
-        self.special = [t["content"].lower() for t in config["added_tokens"]]
+        self.special = [t["content"].lower().encode() for t in config["added_tokens"]]
         steps = [s["type"] for s in (config["normalizer"] or {}).get("normalizers", [])]
         splits = [s.get("pattern", {}).get("Regex") for s in (config["pre_tokenizer"] or {}).get("pretokenizers", [])]
         # white space goes, upper case goes, and words, digits and punctuation are apart: cutting between them changes nothing
         self.apart = (steps == ["NFC", "Replace", "Lowercase"]
                       and splits[:1] == ["'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"])
+        self.letters, self.pieces, self.words = _Memo(self._letter), _Memo(self._piece), _Memo(self._word)
 
-    def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _pieces(self, text: str) -> bytes:
-        pieces, memo = _PIECE.findall(text), self.memo
-        got = list(map(memo.get, pieces))
-        if None in got:
-            if len(memo) > MEMO:
-                memo.clear()
-            new = list({p for p in pieces if p not in memo})
-            many = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, many)}
-            got = [fresh[p] if p in fresh else memo[p] for p in pieces]
-            memo.update((p, b) for p, b in fresh.items() if len(p) <= 32)
-        return b"".join(got)
+    def _plain(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letter(self, letter: str) -> str:
+        """How the model sees a letter: normalized, its bytes as characters."""
+        return "".join(part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter)))
+
+    def _piece(self, piece: str) -> bytes:
+        if not _WORD.fullmatch(piece):
+            return self._plain(piece)
+        # one word of plain letters: the model alone gives the same at a fraction of the time
+        shown = piece if piece.isascii() else "".join([self.letters[c] for c in piece])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        return b"".join([self.pieces[p] for p in _PIECE.findall(word.decode())])
 
     def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<u4")
-        low = text.encode().translate(_LOWER).decode()
+        low = (text or "").encode().translate(_LOWER)
         if not self.apart or any(s in low for s in self.special):
-            return self._plain(text)
+            return np.frombuffer(self._plain(text or ""), "<u4")
         parts, at = [], 0
         while at < len(low):
             gap = _SPACE.search(low, at + STRETCH) if len(low) - at > STRETCH else None
             end = gap.end() if gap else len(low)
-            parts.append(self._pieces(low[at:end]))
+            parts.append(b"".join(map(self.words.__getitem__, low[at:end].split())))
             at = end
         return np.frombuffer(b"".join(parts), "<u4")
 
@@ -163,7 +184,9 @@ class Table:
 
     def encode(self, ids: np.ndarray, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray]:
         """(states, words): symbol k is coded by lane ``k % lanes``; encoded from the last to the first."""
-        at = np.searchsorted(self.symbols, ids)
+        place = np.zeros(int(self.symbols[-1]) + 1, np.uint32)
+        place[self.symbols] = np.arange(len(self.symbols))
+        at = place[ids]
         freq, start, scale = self.freqs[at], self.starts[at], np.uint64(self.scale)
         limit = freq << np.uint64(63 - self.scale)
         x, out = np.full(lanes, LOW), []
@@ -275,10 +298,11 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
+                ids = encoder.ids(text.as_py())
                 starts.append(total)
                 doc_ids.append(doc_id)
-                parts += [encoder.ids(text.as_py()), stop]
-                total += len(parts[-2]) + 1
+                parts += [ids, stop]
+                total += len(ids) + 1
                 if total >= file_ids:
                     yield flush()
                     parts, doc_ids, starts, total, seq = [], [], [], 0, seq + 1
@@ -340,21 +364,29 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                      pa.array([zlib.crc32(raw[4 * c:4 * e]) for c, e in zip(cuts, ends)], pa.int64())],
                     names=["file", "doc_no", "doc_id", "whole", "at", "n", "crc"])
 
-    def join(rows):
-        rows = rows.sort_values("at")
-        crc = 0
-        for n, more in zip(rows["n"], rows["crc"]):
-            crc = _combined(crc, 4 * int(n), int(more))
-        first = rows.iloc[:1]
-        return first.assign(n=rows["n"].sum(), crc=crc, whole=True)
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            crcs = []
+            for sizes, parts in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
+                crc = 0
+                for n, more in zip(sizes, parts):
+                    crc = _combined(crc, 4 * n, more)
+                crcs.append(crc)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(crcs, pa.int64())], names=["file", "doc_id", "at", "n", "crc"])
 
     files = manifest.select("file", "n_ids", F.coalesce(F.sum("n_ids").over(  # one row a file
         Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     blocks = manifest.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"))
-    pieces = saved(blocks.repartition("file", "block").sortWithinPartitions("file", "block").mapInArrow(run, pieces_schema), "rans-pieces")
-    joined = pieces.where("not whole").withColumn("doc_id", F.col("doc_id").cast("decimal(20,0)"))  # whole numbers beside nulls, in pandas
-    joined = joined.groupBy("file", "doc_no").applyInPandas(join, joined.schema).withColumn("doc_id", F.col("doc_id").cast("long"))
-    docs = pieces.where("whole").unionByName(joined).join(files.select("file", "before"), "file")
+    shuffles = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(shuffles, manifest.agg(F.sum("n_blocks")).first()[0] or 0))
+    pieces = saved(blocks.repartition(tasks, "file", "block").sortWithinPartitions("file", "block").mapInArrow(run, pieces_schema), "rans-pieces")
+    inner = ["file", "doc_id", "at", "n", "crc"]
+    broken = pieces.where("not whole").groupBy("file", "doc_no").agg(  # a piece a block
+        F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("parts"))
+    broken = broken.select("file", "doc_id", F.element_at("parts", 1)["at"].alias("at"), F.aggregate(
+        "parts", F.lit(0).cast("long"), lambda n, p: n + p["n"]).alias("n"), F.col("parts.n").alias("sizes"), F.col("parts.crc").alias("crcs"))
+    joined = broken.mapInArrow(join, "file string, doc_id long, at long, n long, crc long")
+    docs = pieces.where("whole").select(*inner).unionByName(joined).join(files.select("file", "before"), "file")
     return docs.select("doc_id", (F.col("before") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
 
 
