@@ -57,6 +57,10 @@ class PipelineConfig:
     # volumes (date pruning, the reference indexes transaction_date); None writes
     # one unpartitioned table, better when each date holds only a few rows.
     silver_partition_by: str | None = "transaction_date"
+    # Partitions of the incremental states: by date, where "day" suits large volumes and "month" or "year"
+    # days of a few rows, and by customer, whose number never changes once states are written.
+    state_period: str = "day"
+    state_slots: int = 64
     usd_rates: tuple = field(default=USD_RATES)
 
     @property

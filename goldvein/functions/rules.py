@@ -98,6 +98,12 @@ def distinct_count(c: Column | str, approx: bool = False, rsd: float = 0.01) ->
     return F.approx_count_distinct(col(c), rsd) if approx else F.countDistinct(col(c))
 
 
+def distinct_size(c: Column | str, approx: bool = False) -> Column:
+    """COUNT(DISTINCT c) as the size of a set, for values of which a group has few: merged in
+    each task like any other aggregate, where several COUNT(DISTINCT ...) would multiply the rows."""
+    return distinct_count(c, True) if approx else F.size(F.collect_set(col(c))).cast("long")
+
+
 def count_when(cond: Column) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END): NULL conditions do not count."""
     return F.count(F.when(cond, F.lit(1)))

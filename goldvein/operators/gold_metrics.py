@@ -1,10 +1,11 @@
 """Gold business metrics (B26-B35): one long table of daily KPIs.
 
 Shape of the plan:
-- the daily, date x category and date x payment aggregates come from one
-  GROUPING SETS pass over silver transactions; every aggregated row becomes
-  its long-format rows with ``inline`` (the reference scans the table three
-  times and reads the daily CTE three times).
+- silver transactions are first summed to (date, category, payment method);
+  the daily, date x category and date x payment aggregates come from one
+  GROUPING SETS pass over that small cube, so no raw row is multiplied; every
+  aggregated row becomes its long-format rows with ``inline`` (the reference
+  scans the table three times and reads the daily CTE three times).
 - country rows pre-aggregate completed transactions to (date, customer)
   before joining the customer profile, so the join never sees raw rows and a
   hot customer contributes one row per day.
@@ -129,6 +130,14 @@ def payment_metrics(silver_tx: DataFrame) -> DataFrame:
                                     F.col("n"), F.col("revenue"), F.col("completed"))])
 
 
+def completed_by_day_and_customer(silver_tx: DataFrame) -> DataFrame:
+    """(transaction_date, customer_id, revenue, n) of completed transactions; revenue is an exact decimal."""
+    return (silver_tx.where(F.col("status") == "completed")
+            .groupBy("transaction_date", "customer_id")
+            .agg(R.exact_sum("amount_usd", as_double=False).cast("decimal(38,4)").alias("revenue"),
+                 F.count(F.lit(1)).alias("n")))
+
+
 def country_metrics(silver_tx: DataFrame, silver_cust: DataFrame) -> DataFrame:
     """Completed transactions x silver customer rows (inner join, fans out per
     profile row as the reference does); value = revenue; supports = distinct
@@ -137,10 +146,10 @@ def country_metrics(silver_tx: DataFrame, silver_cust: DataFrame) -> DataFrame:
     Transactions are first reduced to one row per (date, customer) with an
     exact decimal sum, then joined; re-summing decimals keeps the total exact.
     """
-    per_day_customer = (silver_tx.where(F.col("status") == "completed")
-                        .groupBy("transaction_date", "customer_id")
-                        .agg(R.exact_sum("amount_usd", as_double=False).alias("revenue"),
-                             F.count(F.lit(1)).alias("n")))
+    return _country_rows(completed_by_day_and_customer(silver_tx), silver_cust)
+
+
+def _country_rows(per_day_customer: DataFrame, silver_cust: DataFrame) -> DataFrame:
     profiles = silver_cust.select("customer_id", "country")
     agg = (per_day_customer.join(profiles, "customer_id")
            .groupBy("transaction_date", "country")
@@ -151,27 +160,36 @@ def country_metrics(silver_tx: DataFrame, silver_cust: DataFrame) -> DataFrame:
                                     F.col("revenue"), F.col("customers"), F.col("n"))])
 
 
-def daily_category_payment_rows(silver_tx: DataFrame) -> DataFrame:
-    """B28, B29, B31, B32, B33 from ONE scan of silver transactions.
+CUBE_MEASURES = ("transaction_count", "usd", "high_risk_count", "successful_count", "failed_count", "completed_usd")
 
-    GROUPING SETS (date), (date, category), (date, payment_method) with
-    conditional aggregates; each output row is turned into its long rows by
-    its grouping set. Category rows count completed transactions only and
-    keep only groups that have one, as the per-grain aggregation does.
-    """
+
+def daily_cube(silver_tx: DataFrame) -> DataFrame:
+    """``CUBE_MEASURES`` per (transaction_date, category, payment_method); sums are exact decimals."""
     completed = F.col("status") == "completed"
     usd = F.col("amount_usd").cast(R.MONEY_BOUNDED)
-    g = (silver_tx
+    return silver_tx.groupBy("transaction_date", "category", "payment_method").agg(
+        F.count(F.lit(1)).alias("transaction_count"),
+        F.sum(usd).cast("decimal(38,4)").alias("usd"),
+        R.count_when(F.col("is_high_risk")).alias("high_risk_count"),
+        R.count_when(completed).alias("successful_count"),
+        R.count_when(F.col("status") == "failed").alias("failed_count"),
+        F.sum(F.when(completed, usd)).cast("decimal(38,4)").alias("completed_usd"))
+
+
+def daily_category_payment_rows(cube: DataFrame) -> DataFrame:
+    """B28, B29, B31, B32, B33 from the daily cube.
+
+    GROUPING SETS (date), (date, category), (date, payment_method) over the
+    cube's sums; each output row is turned into its long rows by its grouping
+    set. Category rows count completed transactions only and keep only groups
+    that have one, as the per-grain aggregation does.
+    """
+    g = (cube
          .groupingSets([["transaction_date"], ["transaction_date", "category"],
                         ["transaction_date", "payment_method"]],
                        "transaction_date", "category", "payment_method")
          .agg(F.grouping("category").alias("g_cat"), F.grouping("payment_method").alias("g_pay"),
-              F.count(F.lit(1)).alias("transaction_count"),
-              F.sum(usd).alias("usd"),
-              R.count_when(F.col("is_high_risk")).alias("high_risk_count"),
-              R.count_when(completed).alias("successful_count"),
-              R.count_when(F.col("status") == "failed").alias("failed_count"),
-              F.sum(F.when(completed, usd)).alias("completed_usd")))
+              *[F.sum(c).alias(c) for c in CUBE_MEASURES]))
     rev = F.col("usd").cast("double")
     done = F.col("completed_usd").cast("double")
     daily = (F.col("g_cat") == 1) & (F.col("g_pay") == 1)
@@ -194,12 +212,18 @@ def gold_business_metrics(silver_tx: DataFrame, silver_cust: DataFrame,
                           cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """Union of revenue, conversion, acquisition, risk, category, payment, country rows.
 
-    Silver transactions are scanned twice: once for the grouping-sets pass and
-    once for the (date, customer) pre-aggregate that feeds the country join.
+    Silver transactions are scanned twice: once for the daily cube and once for
+    the (date, customer) pre-aggregate that feeds the country join.
     """
+    return business_metrics(daily_cube(silver_tx), completed_by_day_and_customer(silver_tx), silver_cust, cfg)
+
+
+def business_metrics(cube: DataFrame, per_day_customer: DataFrame, silver_cust: DataFrame,
+                     cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
+    """B35 from the two pre-aggregates, however they were made."""
     parts = [
-        daily_category_payment_rows(silver_tx),
+        daily_category_payment_rows(cube),
         acquisition_metrics(daily_customers(silver_cust)),
-        country_metrics(silver_tx, silver_cust),
+        _country_rows(per_day_customer, silver_cust),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("processed_at", R.ts_ntz(cfg.run_timestamp))

@@ -53,12 +53,15 @@ def silver_transactions(bronze_tx: DataFrame, cfg: PipelineConfig = C.DEFAULT) -
     return enriched.select(*SILVER_TRANSACTION_COLUMNS)
 
 
+def valid_customers(bronze_cust: DataFrame) -> DataFrame:
+    """customer events with an id and an email that has an '@'."""
+    return bronze_cust.where(F.col("customer_id").isNotNull() & F.col("email").isNotNull() & F.col("email").contains("@"))
+
+
 def customer_activity(bronze_cust: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """Grain customer_id x email x country x device_type."""
     ts = R.to_ts("timestamp", cfg.tolerant_casts)
-    return (bronze_cust
-            .where(F.col("customer_id").isNotNull() & F.col("email").isNotNull()
-                   & F.col("email").contains("@"))
+    return (valid_customers(bronze_cust)
             .groupBy("customer_id", "email", "country", "device_type")
             .agg(F.min(ts).alias("first_seen"),
                  F.max(ts).alias("last_seen"),
@@ -102,15 +105,18 @@ SILVER_CUSTOMER_COLUMNS = (
 
 def silver_customers(bronze_cust: DataFrame, bronze_tx: DataFrame, bronze_prod: DataFrame,
                      cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
+    """B14 from bronze; see ``profiles``."""
+    return profiles(customer_activity(bronze_cust, cfg), customer_transaction_summary(bronze_tx, cfg),
+                    customer_product_summary(bronze_prod), cfg)
+
+
+def profiles(ce: DataFrame, ct: DataFrame, cp: DataFrame, cfg: PipelineConfig = C.DEFAULT) -> DataFrame:
     """B14 = B8 left join B9 left join B10, then B11-B13.
 
     Transaction counts and sums default to 0; last_transaction_date and
     avg_rating_given stay NULL. The segment reads the un-defaulted total, so a
     customer without transactions is 'Low Value'.
     """
-    ce = customer_activity(bronze_cust, cfg)
-    ct = customer_transaction_summary(bronze_tx, cfg)
-    cp = customer_product_summary(bronze_prod)
     joined = ce.join(ct, "customer_id", "left").join(cp, "customer_id", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = joined.select(
