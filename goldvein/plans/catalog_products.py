@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import rules as R
 from ..operators import products as P
 from ..operators import silver as S
+from ..session import scratch_path
 from .catalog import L, query, stat6
 from .oracle_ctes import cte, with_ctes, xavg, xsum
 
@@ -178,6 +182,23 @@ def q_system_log_metrics(spark, sf_dir):
     return df.select(*[stat6(c) if c == "p95_response_ms" else c for c in df.columns])
 
 
+@query("latency_sketches", with_ctes("""
+SELECT service, CAST(CAST(timestamp AS TIMESTAMP) AS DATE) AS day, COUNT(*) AS requests, true AS within_error
+FROM bronze_system_logs GROUP BY 1, 2""", "bronze_system_logs"))
+def q_latency_sketches(spark, sf_dir):
+    """Daily latencies from stored hourly sketches; each one's true rank is within twice the sketch's error."""
+    logs = L(spark, sf_dir).bronze.system_logs
+    store = scratch_path(spark, "latency")
+    P.latency_sketches(logs).write.parquet(store)
+    at, error = (0.5, 0.95, 0.99), 2 * 0.0165
+    days = P.latency_by_day(spark.read.parquet(store), at)
+    rows = logs.select("service", F.to_date(R.to_ts("timestamp")).alias("day"), "response_time_ms").join(days, ["service", "day"])
+    ms = F.col("response_time_ms")
+    near = [(F.count(F.when(ms <= F.col("latencies")[i], 1)) >= (q - error) * F.count(ms))
+            & (F.count(F.when(ms < F.col("latencies")[i], 1)) <= (q + error) * F.count(ms)) for i, q in enumerate(at)]
+    return rows.groupBy("service", "day").agg(F.max("requests").alias("requests"), (near[0] & near[1] & near[2]).alias("within_error"))
+
+
 @query("rfm_quintiles", with_ctes("""
 SELECT customer_id, r_quintile, f_quintile, m_quintile, r_quintile + f_quintile + m_quintile AS rfm_quintile_total
 FROM (SELECT customer_id,

@@ -13,6 +13,7 @@ from ..schemas import CUSTOMER_EVENT, SYSTEM_LOG, TRANSACTION_EVENT
 from ..session import scratch_path
 from ..sources.landing import to_envelope, write_landing
 from ..streaming import ingest as I
+from ..streaming import once as O
 from ..streaming import windows as W
 from .catalog import L, query
 from .oracle_ctes import with_ctes
@@ -132,3 +133,18 @@ def q_bronze_stream_and_batch(spark, sf_dir):
             write_landing(to_envelope(rows, TRANSACTION_EVENT), landing)
             I.start_ingest(spark, landing, TRANSACTION_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg).await_all()
     return I.read_bronze(spark, f"{out}/table", TRANSACTION_EVENT).select(*[f.name for f in TRANSACTION_EVENT.fields])
+
+
+@query("stream_ingest_once", with_ctes(f"""
+SELECT {_fields(CUSTOMER_EVENT)}, kinesis_sequence_number,
+  COALESCE(customer_id, event_id, 'default') AS kinesis_partition_key
+FROM bronze_customer_events""", "bronze_customer_events"))
+def q_stream_ingest_once(spark, sf_dir):
+    """Every customer event delivered, and all of them again to a later run: beyond any watermark, each is written once."""
+    layers = L(spark, sf_dir)
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    env = to_envelope(layers.bronze.customer_events, CUSTOMER_EVENT)
+    for _ in range(2):
+        write_landing(env, landing)
+        O.ingest_once(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg)
+    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT).drop("processed_at")

@@ -144,7 +144,7 @@ def ingest_rows(decoded: DataFrame, payload_schema: T.StructType) -> DataFrame:
 
 # A bronze table has one folder per writer. The stream's is read through its commit
 # log, which hides files that others put there; so the batch append has its own.
-STREAM, BATCH = "stream", "batch"
+STREAM, BATCH, ONCE = "stream", "batch", "once"  # ONCE: see streaming.once
 
 
 def sink_schema(payload_schema: T.StructType) -> T.StructType:
@@ -159,16 +159,21 @@ def _part(spark: SparkSession, root: str, part: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def _streamed(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
+    schema = sink_schema(payload_schema)
+    return _part(spark, root, STREAM, schema).unionByName(_part(spark, root, ONCE, schema).select(*schema.fieldNames()))
+
+
 def read_bronze(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
     """The valid records of an ingest table, streamed and appended in batch."""
     cols = [f.name for f in with_lineage(payload_schema).fields]
-    streamed = _part(spark, root, STREAM, sink_schema(payload_schema)).where(F.col(RECORD_STATUS) == VALID)
+    streamed = _streamed(spark, root, payload_schema).where(F.col(RECORD_STATUS) == VALID)
     return streamed.select(*cols).unionByName(_part(spark, root, BATCH, with_lineage(payload_schema)).select(*cols))
 
 
 def read_quarantine(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
     """The rejected records of an ingest table, with their reason."""
-    rows = _part(spark, root, STREAM, sink_schema(payload_schema)).where(F.col(RECORD_STATUS) == QUARANTINED)
+    rows = _streamed(spark, root, payload_schema).where(F.col(RECORD_STATUS) == QUARANTINED)
     return rows.select(*[F.col(f"q_{c}").alias(c) for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"], "processed_at")
 
 
