@@ -12,7 +12,8 @@ of white space are one space.
   m pieces may hold m - 1 errors, and on any true match there is a leaf all
   of whose ancestors stay within theirs. So a chance hit costs a few steps of
   Myers' bit-parallel search on a short pattern, and only survivors are
-  verified against the whole item.
+  verified against the whole item. Where hits of one item crowd, as in repetitive
+  text, the item is searched once over the whole stretch.
 
 The items are the bounded query set: they are taken in blocks of about
 ``block_chars`` characters, each block against all documents, so what is
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 4_000_000
+MANY_HITS = 64  # of one item in overlapping places; beyond that they are searched together
 
 
 def normal(text: str) -> str:
@@ -119,22 +121,63 @@ class Matcher:
         out: dict[int, int] = {}
         if not self.usable or not text:
             return out
-        text, tried = normal(text), set()
+        text = normal(text)
+        near: dict[int, Stretch] = {}  # per item the hits whose surroundings overlap, the latest ones
         for end, (length, owners) in self.automaton.iter(text):
             at = end - length + 1
             for k, leaf in owners:
                 item = self.items[k]
-                if out.get(k) == 0 or (k, diagonal := at - item.cuts[leaf]) in tried:
+                if out.get(k) == 0:
                     continue
-                errors = item.errors(leaf, text, at)
-                if errors is not None:
-                    tried.add((k, diagonal))
-                    out[k] = min(errors, out.get(k, errors))
-                    if first:
+                low = max(0, at - item.cuts[leaf] - item.budget)
+                high = at - item.cuts[leaf] + len(item.text) + item.budget
+                if k in near and low > near[k].high:
+                    near.pop(k).settle(item, text, k, out)
+                    if first and out:
                         return out
+                near.setdefault(k, Stretch(low, high)).add(low, high, at, leaf)
+        for k, stretch in near.items():
+            stretch.settle(self.items[k], text, k, out)
+            if first and out:
+                break
         return out
 
 
+class Stretch:
+    """Piece hits of one item whose surroundings overlap.
+
+    A few hits are verified one by one. In repetitive text, where hits are many,
+    the whole stretch is searched once instead, so its time grows with its length.
+    """
+
+    def __init__(self, low: int, high: int):
+        self.low, self.high, self.hits = low, high, []
+
+    def add(self, low: int, high: int, at: int, leaf: int) -> None:
+        self.low, self.high = min(self.low, low), max(self.high, high)
+        if len(self.hits) <= MANY_HITS:
+            self.hits.append((at, leaf))
+
+    def settle(self, item: Item, text: str, k: int, out: dict[int, int]) -> None:
+        """Puts the least edits of the item in the stretch to ``out``, if within budget."""
+        if len(self.hits) > MANY_HITS:
+            window = text[self.low:self.high]
+            errors = 0 if item.text in window else myers(item.text, window)
+            if errors <= item.budget:
+                out[k] = min(errors, out.get(k, errors))
+            return
+        tried = set()
+        for at, leaf in self.hits:
+            if (diagonal := at - item.cuts[leaf]) in tried:
+                continue
+            errors = item.errors(leaf, text, at)
+            if errors is not None:
+                tried.add(diagonal)
+                out[k] = min(errors, out.get(k, errors))
+                if errors == 0:
+                    return
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks of about ``block_chars`` characters, each small enough to send to tasks."""
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")) \

@@ -80,3 +80,16 @@ def test_blocks_and_odd_rows(spark):
     none = items.limit(0)
     assert D.contaminated(docs, none).count() == 0 and D.decontaminated(docs, none).count() == 7
     assert D.contaminated(docs.limit(0), items).count() == 0
+
+
+def test_repetitive_text_takes_time_in_proportion():
+    import time
+    item = "ab " * 110 + "a different end of the item"
+    matcher = D.Matcher([(1, item), (2, "ab " * 60 + "ac " * 60)], 0.1)
+    texts = {n: "ab " * n for n in (1000, 30_000)}
+    began = time.perf_counter()
+    found = {n: matcher.found(t) for n, t in texts.items()}
+    assert time.perf_counter() - began < 5
+    for n, t in texts.items():  # the same as one search over the whole text
+        want = {k: e for k, i in enumerate(matcher.items) if (e := D.myers(i.text, D.normal(t))) <= i.budget}
+        assert found[n] == want
