@@ -14,18 +14,21 @@ than ``MAX_LANGUAGES`` labels are an error. Prediction reads the text only.
 Defined cases: null text or text without a letter is ``und`` with score 0;
 letters of a script no language was trained on leave all languages as
 candidates; ties go to the language that sorts first; with no training row
-every text is ``und``; very long texts are labelled whole; repeated rows give
+every text is ``und``; very long texts are scored in pieces cut at white space and
+labelled whole; repeated rows give
 repeated results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +38,8 @@ SWITCH_PENALTY, SMOOTHING, SCRIPT_SHARE = 8.0, 0.5, 0.01
 UNKNOWN = "und"
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
                                   T.StructField("lang", T.StringType())]))
-_PART_CHARS, _GROUP_CHARS = 2_000_000, 12_000_000  # memory of a task: characters scored, then labelled, at a time
+_PART_CHARS, _GROUP_CHARS = 250_000, 1_000_000  # memory of a task: characters scored, then labelled, at a time
+_GAP = re.compile(r"\s")  # no word holds white space, so a text may be cut there
 
 # Unicode script ranges (first code point, last code point, script).
 SCRIPT_RANGES = (
@@ -156,18 +160,19 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
         for b in batches:
-            langs, texts = b.column(1).to_pylist(), b.column(0)
-            for part in _parts([len(t) for t in texts.to_pylist()], _PART_CHARS):
-                words, own = Words(texts.slice(part[0], len(part)).to_pylist()), np.array([langs[i] for i in part])
-                for lang in np.unique(own):
-                    count = grams.setdefault(str(lang), np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                    mine = own == lang
-                    count[:BUCKETS] += np.bincount(words.trigrams[mine[words.trigram_doc]], minlength=BUCKETS)
-                    per = np.bincount(words.script[mine[words.doc]], words.letters[mine[words.doc]], len(SCRIPTS))
-                    count[BUCKETS:] += per.astype(np.int64)
+            for rows in _parts(_lengths(b.column(0)), _GROUP_CHARS):
+                texts, langs = (b.column(k).slice(rows.start, len(rows)).to_pylist() for k in (0, 1))
+                for part in _pieces(texts):
+                    words, own = Words([t for _, _, t in part]), np.array([langs[i] for i, _, _ in part])
+                    for lang in np.unique(own):
+                        count = grams.setdefault(str(lang), np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                        mine = own == lang
+                        count[:BUCKETS] += np.bincount(words.trigrams[mine[words.trigram_doc]], minlength=BUCKETS)
+                        per = np.bincount(words.script[mine[words.doc]], words.letters[mine[words.doc]], len(SCRIPTS))
+                        count[BUCKETS:] += per.astype(np.int64)
         for lang, count in grams.items():
             used = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used)), pa.array(used, pa.int32()), pa.array(count[used])],
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(count[used])],
                                              names=["lang", "feature", "n"])
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
@@ -196,6 +201,29 @@ def _parts(sizes: list[int], most: int) -> Iterator[range]:
         yield range(at, len(sizes))
 
 
+def _lengths(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+
+
+def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, int, str]]]:
+    """Lists of (position, first character, piece) of about ``_PART_CHARS`` characters; long texts are cut between words."""
+    part, size = [], 0
+    for i, text in enumerate(texts):
+        at, text = 0, text or ""
+        while True:
+            gap = _GAP.search(text, at + _PART_CHARS) if len(text) - at > _PART_CHARS else None
+            end = gap.end() if gap else len(text)
+            if part and size + end - at > _PART_CHARS:
+                yield part
+                part, size = [], 0
+            part.append((i, at, text[at:end]))
+            size, at = size + end - at, end
+            if at >= len(text):
+                break
+    if part:
+        yield part
+
+
 def label(texts: list[str | None], model: Model | None, penalty: float = SWITCH_PENALTY) -> pa.Table:
     """lang_pred, score and spans (start, end, lang; in characters) of each text."""
     n = len(texts)
@@ -205,9 +233,10 @@ def label(texts: list[str | None], model: Model | None, penalty: float = SWITCH_
     sizes = [len(t or "") for t in texts]
     for group in _parts(sizes, _GROUP_CHARS) if model else ():
         found = []
-        for part in _parts([sizes[i] for i in group], _PART_CHARS):
-            words = Words([texts[group[0] + i] or "" for i in part])
-            found.append((words.doc + part[0], words.first, words.end, words.letters, model.scores(words)))
+        for part in _pieces([texts[i] for i in group]):
+            words, (own, offset, pieces) = Words([t for _, _, t in part]), zip(*part)
+            shift = np.array(offset)[words.doc]
+            found.append((np.array(own)[words.doc], words.first + shift, words.end + shift, words.letters, model.scores(words)))
         doc, first, end, letters, scores = (np.concatenate(x) for x in zip(*found))
         counts = np.bincount(doc, minlength=len(group))
         starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -237,9 +266,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", penalt
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = label(b.column(where).to_pylist(), shared.value, penalty)
-            yield pa.RecordBatch.from_arrays([*b.columns, *[got[c].combine_chunks() for c in added]],
-                                             names=[*b.schema.names, *added])
+            for rows in _parts(_lengths(b.column(where)), _GROUP_CHARS):
+                some = b.slice(rows.start, len(rows))
+                got = label(some.column(where).to_pylist(), shared.value, penalty)
+                yield pa.RecordBatch.from_arrays([*some.columns, *[got[c].combine_chunks() for c in added]],
+                                                 names=[*b.schema.names, *added])
 
     return base.mapInArrow(run, T.StructType(base.schema.fields + [T.StructField(*x) for x in added.items()]))
 

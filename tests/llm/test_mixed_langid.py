@@ -69,10 +69,17 @@ def test_no_training_rows_and_empty(spark):
     assert I.predict(df.limit(0), small_model(spark)[0]).collect() == []
 
 
+def test_languages_without_letters_learn_nothing(spark):
+    docs = spark.createDataFrame([("aa", "abc def"), ("bb", "12 34"), ("cc", None)], "lang string, text string").repartition(3)
+    model = I.train(docs)
+    assert model.langs == ["aa"]
+
+
 def test_split_batches_agree(spark, monkeypatch):
     model, sets, word = small_model(spark)
     texts = [" ".join(word(sets[k]) for _ in range(n)) for k, n in (("aa", 3), ("ru", 40), ("bb", 0), ("uk", 9), ("aa", 25))]
     whole = I.label(texts, model).to_pylist()
-    monkeypatch.setattr(I, "_PART_CHARS", 50)
-    monkeypatch.setattr(I, "_GROUP_CHARS", 120)
-    assert I.label(texts, model).to_pylist() == whole
+    for part, group in ((50, 120), (7, 30)):  # the second cuts single texts
+        monkeypatch.setattr(I, "_PART_CHARS", part)
+        monkeypatch.setattr(I, "_GROUP_CHARS", group)
+        assert I.label(texts, model).to_pylist() == whole
