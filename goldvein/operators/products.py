@@ -49,13 +49,12 @@ def silver_products(bronze_prod: DataFrame, tolerant: bool = False) -> DataFrame
                     "unique_customers", "first_event_at", "last_event_at"))
 
 
-def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", partitions: int | None = None,
-                    tolerant: bool = False) -> DataFrame:
+def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", tolerant: bool = False) -> DataFrame:
     """K2 (batch): per customer, events closer than ``gap`` (inclusive) form one
     session; session end = last event + gap. Uses the skew-safe ``sessionize``
-    (time-sliced ``session_window`` plus a stitch of slice edges)."""
+    (sums per time slice, joined to sessions)."""
     ev = bronze_cust.withColumn("event_ts", R.to_ts("timestamp", tolerant))
-    s = sessionize(ev, "customer_id", "event_ts", gap, partitions)
+    s = sessionize(ev, "customer_id", "event_ts", gap)
     return s.select(
         "customer_id", "session_start", "session_end", "n_events", "first_event", "last_event",
         (F.timestamp_diff("MICROSECOND", F.col("first_event"), F.col("last_event")).cast("double")
@@ -92,8 +91,7 @@ def cohort_retention(silver_tx: DataFrame) -> DataFrame:
         (F.col("active_customers").cast("double") / F.col("cohort_size") * F.lit(100.0)).alias("retention_pct"))
 
 
-def revenue_attribution(silver_tx: DataFrame, bronze_cust: DataFrame, partitions: int | None = None,
-                        tolerant: bool = False) -> DataFrame:
+def revenue_attribution(silver_tx: DataFrame, bronze_cust: DataFrame, tolerant: bool = False) -> DataFrame:
     """K4: completed USD revenue credited to the device_type of the customer's
     latest customer event at or before the transaction ('unknown' if none);
     ties on event time go to the largest event_id. Per date and device:
@@ -101,7 +99,7 @@ def revenue_attribution(silver_tx: DataFrame, bronze_cust: DataFrame, partitions
     probes = _completed(silver_tx).select("customer_id", "transaction_timestamp", "transaction_date", "amount_usd")
     facts = bronze_cust.select("customer_id", R.to_ts("timestamp", tolerant).alias("event_ts"), "event_id", "device_type")
     hit = asof_latest(probes, facts, "customer_id", "transaction_timestamp", "event_ts", "device_type",
-                      "event_id", out="device", partitions=partitions)
+                      "event_id", out="device")
     return (hit.groupBy("transaction_date", F.coalesce(F.col("device"), F.lit("unknown")).alias("device_type"))
             .agg(R.exact_sum("amount_usd").alias("revenue_usd"),
                  F.count(F.lit(1)).alias("transactions"),

@@ -2,20 +2,20 @@
 
 A session groups a key's events whose gaps are at most ``gap`` (inclusive);
 it starts at its first event and ends ``gap`` after its last one. Spark's
-``session_window`` does this per key, but in batch it ships every event of a
-key to one task. Here:
-
-1. events are range-partitioned on (key, ts): a hot key becomes time slices
-   spread over many partitions (written once with a reliable ``checkpoint()``
-   so every branch sees the same slicing);
-2. ``session_window`` runs per (slice, key): a group is at most one slice;
-3. only the first and the last session of a slice can touch a neighbouring
-   slice, so those (at most two per slice and key) are stitched with a window
-   over that small table: a new session starts where the start is after every
-   earlier end;
-4. interior sessions are final as they are.
-
-The result equals one global sessionization.
+``session_window`` does this per key, but in batch it sorts every event of a
+key in one task. Here:
+
+1. events are aggregated by (key, time slice of width ``gap``). Two events of one
+   slice are always in one session, so a slice needs no more than its first and
+   last time and its totals: each task combines its own rows before the shuffle,
+   and a hot key is spread over its slices;
+2. a window over the slices of a key starts a new session where a slice begins
+   more than ``gap`` after the end of the one before. A key has at most one row
+   per ``gap`` of the calendar there, however many events it has;
+3. slices are added up by session, in the same partitioning.
+
+The slices depend on the data alone, so a recomputed task gives the same rows and
+nothing is checkpointed. The result equals one global sessionization.
 """
 
 from __future__ import annotations
@@ -23,49 +23,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 SESSION_COLUMNS = ("session_start", "session_end", "n_events", "first_event", "last_event", "actions",
                    "device_type")
 
 
-def sessionize(events: DataFrame, key: str, ts: str, gap: str, partitions: int | None = None) -> DataFrame:
-    """Sessions of ``events`` (needs columns key, ts, action, device_type).
+def sessionize(events: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
+    """Sessions of ``events`` (needs columns key, ts, action, device_type); rows without key or time don't count.
 
     Output: key, session_start, session_end, n_events, first_event, last_event,
-    actions (distinct, array), device_type (smallest seen).
+    actions (distinct, sorted array), device_type (smallest seen).
     """
-    spark = events.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    sliced = (events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .select(key, ts, "action", "device_type")
-              .repartitionByRange(n, key, ts)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-
-    local = (sliced.groupBy("_pid", key, F.session_window(ts, gap).alias("s"))
-             .agg(F.count(F.lit(1)).alias("n_events"), F.min(ts).alias("first_event"),
-                  F.max(ts).alias("last_event"), F.collect_set("action").alias("actions"),
-                  F.min("device_type").alias("device_type"))
-             .select("_pid", key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                     "n_events", "first_event", "last_event", "actions", "device_type"))
-    in_slice = Window.partitionBy("_pid", key)
-    flagged = local.withColumns({"_first": F.min("session_start").over(in_slice),
-                                 "_last": F.max("session_start").over(in_slice)})
-    at_edge = (F.col("session_start") == F.col("_first")) | (F.col("session_start") == F.col("_last"))
-    interior = flagged.where(~at_edge).select(key, *SESSION_COLUMNS)
-
-    by_time = Window.partitionBy(key).orderBy("session_start", "_pid")
-    prev_end = F.max("session_end").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
-    edges = (flagged.where(at_edge)
-             .withColumn("_new", F.when(prev_end.isNull() | (F.col("session_start") > prev_end), 1).otherwise(0))
-             .withColumn("_grp", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0))))
-    stitched = (edges.groupBy(key, "_grp")
-                .agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
-                     F.sum("n_events").alias("n_events"), F.min("first_event").alias("first_event"),
-                     F.max("last_event").alias("last_event"),
-                     F.array_distinct(F.flatten(F.collect_list("actions"))).alias("actions"),
-                     F.min("device_type").alias("device_type"))
-                .select(key, *SESSION_COLUMNS))
-    return interior.unionByName(stitched)
+    interval = F.expr(f"INTERVAL {gap}")
+    slices = (events.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+              .groupBy(F.col(key), F.window(ts, gap).alias("_slice"))
+              .agg(F.count(F.lit(1)).alias("n_events"), F.min(ts).alias("first_event"), F.max(ts).alias("last_event"),
+                   F.collect_set("action").alias("actions"), F.min("device_type").alias("device_type"))
+              .drop("_slice"))
+    by_time = Window.partitionBy(key).orderBy("first_event")
+    before = F.lag("last_event").over(by_time)
+    numbered = (slices.withColumn("_new", F.when(before + interval >= F.col("first_event"), 0).otherwise(1))
+                .withColumn("_session", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0))))
+    return (numbered.groupBy(key, "_session")
+            .agg(F.min("first_event").alias("session_start"), (F.max("last_event") + interval).alias("session_end"),
+                 F.sum("n_events").alias("n_events"), F.min("first_event").alias("first_event"),
+                 F.max("last_event").alias("last_event"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("actions")))).alias("actions"),
+                 F.min("device_type").alias("device_type"))
+            .select(key, *SESSION_COLUMNS))

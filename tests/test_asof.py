@@ -27,12 +27,24 @@ def test_asof_matches_brute_force_with_hot_key(spark):
     facts.append(("hot", probes[0][2], "zzzz", "tie"))  # same time as a probe: counts as at-or-before
     pdf = spark.createDataFrame(probes, "pid string, k string, t timestamp_ntz")
     fdf = spark.createDataFrame(facts, "k string, t timestamp_ntz, tb string, v string")
-    got = {r.pid: r.v for r in asof_latest(pdf, fdf, "k", "t", "t", "v", "tb", out="v", partitions=16).collect()}
+    got = {r.pid: r.v for r in asof_latest(pdf, fdf, "k", "t", "t", "v", "tb", out="v").collect()}
     want = brute(probes, facts)
     assert got == want
     assert got[probes[0][0]] == ("tie" if probes[0][1] == "hot" else want[probes[0][0]])
 
 
+def test_asof_odd_rows(spark):
+    t0 = datetime(2024, 1, 1)
+    pdf = spark.createDataFrame([("late", "k", t0 + timedelta(days=40)), ("edge", "k", t0 + timedelta(hours=2)), ("early", "k", t0 - timedelta(days=1)),
+                                 ("timeless", "k", None), ("keyless", None, t0), ("edge", "k", t0 + timedelta(hours=2))], "pid string, k string, t timestamp_ntz")
+    fdf = spark.createDataFrame([("k", t0, "1", "a"), ("k", t0 + timedelta(hours=2), "1", "b"), ("k", t0 + timedelta(hours=2), "0", "c"),
+                                 ("k", t0 + timedelta(hours=2), "9", None), ("k", None, "1", "d")], "k string, t timestamp_ntz, tb string, v string")
+    hit = asof_latest(pdf, fdf, "k", "t", "t", "v", "tb", out="v")
+    assert sorted((r.pid, r.v) for r in hit.collect()) == [("early", None), ("edge", "b"), ("edge", "b"), ("keyless", None), ("late", "b"), ("timeless", None)]
+    empty = asof_latest(pdf.limit(0), fdf, "k", "t", "t", "v", "tb")
+    assert empty.columns == ["pid", "k", "t", "asof_value"] and empty.collect() == []
+
+
 def brute_sessions(events, gap_s):
     out = {}
     for k in {e[0] for e in events if e[0] is not None}:
@@ -57,7 +69,7 @@ def test_sessionize_matches_brute_force_with_hot_key(spark):
                rnd.choice(["view", "click"]), rnd.choice(["mobile", "tablet"])) for _ in range(600)]
     df = spark.createDataFrame(events, "k string, t timestamp_ntz, action string, device_type string")
     got = {}
-    for r in sessionize(df, "k", "t", "30 minutes", partitions=24).collect():
+    for r in sessionize(df, "k", "t", "30 minutes").collect():
         got.setdefault(r.k, []).append((r.first_event, r.last_event, r.n_events))
         assert r.session_end == r.last_event + timedelta(minutes=30) and r.session_start == r.first_event
     assert {k: sorted(v) for k, v in got.items()} == brute_sessions(events, 1800)
