@@ -19,6 +19,9 @@ partitioned by record_status (valid | quarantined)
   time, not event time, so an event with an old timestamp is never discarded
   as late; state holds the keys seen within ``cfg.dedup_watermark`` of arrival.
   Re-deliveries arriving later than that are kept and reported by DQ1.
+* Fields that a producer adds to its payload don't change the declared columns;
+  they are kept beside them as a variant (``read_unknown``), and
+  ``drift_report`` tells which there are, of which types and since when.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from ..session import path_exists
 CORRUPT_ENVELOPE = "_corrupt_record"
 CORRUPT_PAYLOAD = "_corrupt_payload"
 PAYLOAD_HASH = "_payload_hash"
+UNKNOWN = "unknown_fields"  # what a payload holds beside its declared fields
 
 QUARANTINE_SCHEMA_COLUMNS = ("partition_key", "sequence_number", "data", "raw_record", "reason", "processed_at")
 
@@ -78,7 +82,11 @@ def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConf
     p = F.from_json("data", parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_PAYLOAD})
     if CORRUPT_ENVELOPE not in envelopes.columns:
         envelopes = envelopes.withColumn(CORRUPT_ENVELOPE, F.lit(None).cast("string"))
-    parsed = envelopes.select("partition_key", "sequence_number", "data", CORRUPT_ENVELOPE, p.alias("p"))
+    names = F.array(*[F.lit(f.name) for f in payload_schema.fields])
+    added = F.size(F.array_except(F.json_object_keys("data"), names)) > 0  # a scan of the keys; values are parsed where there are any
+    unknown = F.when(added, F.to_variant_object(F.map_filter(
+        F.from_json("data", "map<string,variant>"), lambda k, _: ~F.array_contains(names, k))))
+    parsed = envelopes.select("partition_key", "sequence_number", "data", CORRUPT_ENVELOPE, p.alias("p"), unknown.alias(UNKNOWN))
     fields = [F.col(f"p.{f.name}").alias(f.name) for f in payload_schema.fields]
     reason = (F.when(F.col(CORRUPT_ENVELOPE).isNotNull(), "malformed envelope")
               .when(F.col("data").isNull(), "missing payload")
@@ -93,6 +101,7 @@ def decode(envelopes: DataFrame, payload_schema: T.StructType, cfg: PipelineConf
         "partition_key", "sequence_number", "data",
         F.col(CORRUPT_ENVELOPE).alias("raw_record"),
         reason.alias("reason"),
+        F.when(reason.isNull(), F.col(UNKNOWN)).alias(UNKNOWN),
     )
 
 
@@ -138,6 +147,7 @@ def ingest_rows(decoded: DataFrame, payload_schema: T.StructType) -> DataFrame:
         F.when(~ok, F.col("data")).alias("q_data"),
         F.col("raw_record").alias("q_raw_record"),
         F.col("reason").alias("q_reason"),
+        UNKNOWN,
         F.when(ok, VALID).otherwise(QUARANTINED).alias(RECORD_STATUS),
         F.xxhash64("data", "raw_record").alias(PAYLOAD_HASH))
 
@@ -149,8 +159,9 @@ STREAM, BATCH, ONCE = "stream", "batch", "once"  # ONCE: see streaming.once
 
 def sink_schema(payload_schema: T.StructType) -> T.StructType:
     """Columns of the stream's sink."""
-    rest = [f"q_{c}" for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"] + [RECORD_STATUS]
-    return T.StructType(list(with_lineage(payload_schema).fields) + [T.StructField(c, T.StringType()) for c in rest])
+    rest = [f"q_{c}" for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"]
+    return T.StructType([*with_lineage(payload_schema).fields, *[T.StructField(c, T.StringType()) for c in rest],
+                         T.StructField(UNKNOWN, T.VariantType()), T.StructField(RECORD_STATUS, T.StringType())])
 
 
 def _part(spark: SparkSession, root: str, part: str, schema: T.StructType) -> DataFrame:
@@ -177,6 +188,29 @@ def read_quarantine(spark: SparkSession, root: str, payload_schema: T.StructType
     return rows.select(*[F.col(f"q_{c}").alias(c) for c in QUARANTINE_SCHEMA_COLUMNS if c != "processed_at"], "processed_at")
 
 
+def read_unknown(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
+    """(event_id, processed_at, unknown_fields) of the valid records that hold fields beyond the declared ones."""
+    rows = _streamed(spark, root, payload_schema).where((F.col(RECORD_STATUS) == VALID) & F.col(UNKNOWN).isNotNull())
+    return rows.select("event_id", "processed_at", UNKNOWN)
+
+
+def drift_report(unknown: DataFrame) -> DataFrame:
+    """(field, value_type, records, first_seen): the fields that ``read_unknown`` found, one row a type.
+
+    One pass over the drifted records alone; a task keeps one counter a field and type. Types are
+    named without their inner parts (DECIMAL, OBJECT, ARRAY), so there are few; ``drift_schema`` has those.
+    """
+    fields = unknown.lateralJoin(unknown.sparkSession.tvf.variant_explode(F.col(UNKNOWN).outer()))
+    return fields.groupBy(F.col("key").alias("field"), F.regexp_extract(F.schema_of_variant("value"), "^[A-Z_]+", 0).alias("value_type")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("processed_at").alias("first_seen"))
+
+
+def drift_schema(unknown: DataFrame) -> DataFrame:
+    """One row: the number of drifted records, and the merged schema of their unknown fields (null if there are none)."""
+    return unknown.agg(F.count(F.lit(1)).alias("records"), F.schema_of_variant_agg(UNKNOWN).alias("unknown_schema")).select(
+        "records", F.when(F.col("records") > 0, F.col("unknown_schema")).alias("unknown_schema"))
+
+
 def append_bronze(df: DataFrame, root: str, payload_schema: T.StructType) -> None:
     """Batch form of the bronze sink (S4): append events to an ingest table."""
     df.select(*[f.name for f in with_lineage(payload_schema).fields]).write.mode("append").parquet(f"{root}/{BATCH}")
