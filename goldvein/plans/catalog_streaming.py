@@ -151,17 +151,17 @@ def q_stream_ingest_once(spark, sf_dir):
 
 
 @query("bronze_drift", with_ctes("""
-SELECT 'referrer' AS field, 'STRING' AS value_type, COUNT(*) AS records FROM bronze_customer_events WHERE event_id LIKE '%7'
+SELECT 'referrer' AS field, 'string' AS value_type, COUNT(*) AS records FROM bronze_customer_events WHERE event_id LIKE '%7'
 UNION ALL
-SELECT 'visit', CASE WHEN event_id LIKE '%77' THEN 'DECIMAL' ELSE 'BIGINT' END, COUNT(*)
+SELECT 'visit', CASE WHEN event_id LIKE '%77' THEN 'string' ELSE 'number' END, COUNT(*)
 FROM bronze_customer_events WHERE event_id LIKE '%7' GROUP BY 2""", "bronze_customer_events"))
 def q_bronze_drift(spark, sf_dir):
     """Producers add two fields to some events, one of them of changing type; the ingest keeps and reports them."""
     layers = L(spark, sf_dir)
     env = to_envelope(layers.bronze.customer_events, CUSTOMER_EVENT)
     parsed = F.from_json("data", CUSTOMER_EVENT)
-    visit = F.when(parsed["event_id"].endswith("77"), F.lit(".5")).otherwise(F.lit(""))
-    more = F.concat(F.lit('"referrer":"a page","visit":3'), visit, F.lit(","), F.substring("data", 2, 1 << 30))
+    visit = F.when(parsed["event_id"].endswith("77"), F.lit('"often"')).otherwise(F.lit("3"))
+    more = F.concat(F.lit('"referrer":"a page","visit":'), visit, F.lit(","), F.substring("data", 2, 1 << 30))
     landed = env.withColumn("data", F.when(parsed["event_id"].endswith("7"), F.concat(F.lit("{"), more)).otherwise(F.col("data")))
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
     write_landing(landed, landing)

@@ -198,10 +198,13 @@ def drift_report(unknown: DataFrame) -> DataFrame:
     """(field, value_type, records, first_seen): the fields that ``read_unknown`` found, one row a type.
 
     One pass over the drifted records alone; a task keeps one counter a field and type. Types are
-    named without their inner parts (DECIMAL, OBJECT, ARRAY), so there are few; ``drift_schema`` has those.
+    JSON's (object, array, string, number, boolean, null): stored variants don't keep apart whole
+    and decimal numbers. ``drift_schema`` has the inner types.
     """
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    json_type = (F.when(kind.isin("OBJECT", "ARRAY", "STRING", "BOOLEAN"), F.lower(kind)).when(kind == "VOID", "null").otherwise("number"))
     fields = unknown.lateralJoin(unknown.sparkSession.tvf.variant_explode(F.col(UNKNOWN).outer()))
-    return fields.groupBy(F.col("key").alias("field"), F.regexp_extract(F.schema_of_variant("value"), "^[A-Z_]+", 0).alias("value_type")).agg(
+    return fields.groupBy(F.col("key").alias("field"), json_type.alias("value_type")).agg(
         F.count(F.lit(1)).alias("records"), F.min("processed_at").alias("first_seen"))
 
 

@@ -25,8 +25,7 @@ def check(spark, root):
     got = {r.event_id: json.loads(r.j) for r in unknown.selectExpr("event_id", "to_json(unknown_fields) AS j").collect()}
     assert got == {"2": {"plan": "pro", "cart": {"items": [1, 2], "sum": 3.5}}, "3": {"plan": 7, "none": None}}
     report = {(r.field, r.value_type): r.records for r in I.drift_report(unknown).collect()}
-    assert report[("plan", "STRING")] == 1 and report[("plan", "BIGINT")] == 1 and ("none", "VOID") in report
-    assert {f for f, _ in report} == {"plan", "cart", "none"}
+    assert report == {("plan", "string"): 1, ("plan", "number"): 1, ("cart", "object"): 1, ("none", "null"): 1}
     row = I.drift_schema(unknown).first()
     assert row.records == 2 and "plan" in row.unknown_schema and "cart" in row.unknown_schema
     bronze = I.read_bronze(spark, root, CUSTOMER_EVENT)
