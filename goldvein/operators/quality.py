@@ -8,10 +8,11 @@ what it collects is that small result: one row per bronze table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,32 +85,54 @@ def quality_gate(results: DataFrame) -> bool:
     return True
 
 
-def row_checks(silver_cust: DataFrame, now: datetime, table_name: str = "silver_customers") -> DataFrame:
-    """DQ3: rows with an email lacking '@', negative spend, or a future created_at."""
+@dataclass(frozen=True)
+class Check:
+    """A check that needs one row of aggregates: what to aggregate, and the result rows made of it.
+
+    ``on`` reads a table for it; ``observed.write_checked`` gathers the aggregates while the table is written.
+    """
+    aggregates: tuple[Column, ...]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return self.finish(df.agg(*self.aggregates))
+
+
+def row_check(now: datetime, table_name: str = "silver_customers") -> Check:
     bad_email = ~F.col("email").like("%@%")
     negative = F.col("total_spent") < 0
     future = F.col("created_at") > R.ts_ntz(now)
-    return silver_cust.agg(
+    return Check((
         R.count_when(bad_email | negative | future).alias("failed_records"),
         R.count_when(bad_email).alias("bad_email"),
         R.count_when(negative).alias("negative_spend"),
         R.count_when(future).alias("future_created_at"),
         F.count(F.lit(1)).alias("total_rows"),
-    ).select(F.lit(table_name).alias("table_name"), "*",
-             F.when(F.col("failed_records") == 0, "PASS").otherwise("FAIL").alias("status"))
+    ), lambda found: found.select(F.lit(table_name).alias("table_name"), "*", F.when(
+        F.col("failed_records") == 0, "PASS").otherwise("FAIL").alias("status")))
+
+
+def row_checks(silver_cust: DataFrame, now: datetime, table_name: str = "silver_customers") -> DataFrame:
+    """DQ3: rows with an email lacking '@', negative spend, or a future created_at."""
+    return row_check(now, table_name).on(silver_cust)
+
+
+def completeness_check(table_name: str, columns: list[str], max_null_fraction: float = C.MAX_NULL_PERCENTAGE) -> Check:
+    def finish(wide: DataFrame) -> DataFrame:
+        long = wide.unpivot("total_rows", list(columns), "column_name", "null_count")
+        frac = R.safe_div(F.col("null_count"), F.col("total_rows"))
+        return long.select(
+            F.lit(table_name).alias("table_name"), "column_name", "null_count", "total_rows",
+            frac.alias("null_fraction"),
+            F.when(F.coalesce(frac, F.lit(0.0)) <= max_null_fraction, "PASS").otherwise("FAIL").alias("status"))
+    return Check((F.count(F.lit(1)).alias("total_rows"),
+                  *[R.count_when(F.col(c).isNull()).alias(c) for c in columns]), finish)
 
 
 def completeness(df: DataFrame, table_name: str, columns: list[str],
                  max_null_fraction: float = C.MAX_NULL_PERCENTAGE) -> DataFrame:
     """DQ4: NULL share per required column in one pass, un-pivoted to one row per column."""
-    wide = df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  *[R.count_when(F.col(c).isNull()).alias(c) for c in columns])
-    long = wide.unpivot("total_rows", list(columns), "column_name", "null_count")
-    frac = R.safe_div(F.col("null_count"), F.col("total_rows"))
-    return long.select(
-        F.lit(table_name).alias("table_name"), "column_name", "null_count", "total_rows",
-        frac.alias("null_fraction"),
-        F.when(F.coalesce(frac, F.lit(0.0)) <= max_null_fraction, "PASS").otherwise("FAIL").alias("status"))
+    return completeness_check(table_name, columns, max_null_fraction).on(df)
 
 
 def volume(df: DataFrame, ts_col: str, table_name: str, min_rows: int = C.MIN_ROW_COUNT,
@@ -171,6 +194,16 @@ def uniqueness(df: DataFrame, table_name: str, keys: list[str]) -> DataFrame:
         F.when(F.col("duplicated_keys") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
+def freshness_check(ts_col: str, table_name: str, now: datetime, max_age_hours: int = C.FRESHNESS_HOURS, tolerant: bool = False) -> Check:
+    ts = R.to_ts(ts_col, tolerant)
+    lag_us = F.timestamp_diff("MICROSECOND", F.col("newest"), R.ts_ntz(now))
+    limit = R.ts_ntz(now - timedelta(hours=max_age_hours))
+    return Check((F.max(F.when(ts <= R.ts_ntz(now), ts)).alias("newest"),), lambda newest: newest.select(
+        F.lit(table_name).alias("table_name"), "newest",
+        (lag_us.cast("double") / F.lit(60e6)).alias("lag_minutes"),
+        F.when(F.col("newest") >= limit, "PASS").otherwise("FAIL").alias("status")))
+
+
 def freshness(df: DataFrame, ts_col: str, table_name: str, now: datetime,
               max_age_hours: int = C.FRESHNESS_HOURS, tolerant: bool = False) -> DataFrame:
     """DQ8: the newest row not after ``now`` must be within ``max_age_hours`` of it.
@@ -178,11 +211,4 @@ def freshness(df: DataFrame, ts_col: str, table_name: str, now: datetime,
     Rows dated after ``now`` (one wrong date would hide a stale table) don't
     count as fresh; a table that has only such rows fails.
     """
-    ts = R.to_ts(ts_col, tolerant)
-    newest = df.agg(F.max(F.when(ts <= R.ts_ntz(now), ts)).alias("newest"))
-    lag_us = F.timestamp_diff("MICROSECOND", F.col("newest"), R.ts_ntz(now))
-    limit = R.ts_ntz(now - timedelta(hours=max_age_hours))
-    return newest.select(
-        F.lit(table_name).alias("table_name"), "newest",
-        (lag_us.cast("double") / F.lit(60e6)).alias("lag_minutes"),
-        F.when(F.col("newest") >= limit, "PASS").otherwise("FAIL").alias("status"))
+    return freshness_check(ts_col, table_name, now, max_age_hours, tolerant).on(df)

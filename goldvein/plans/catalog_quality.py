@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..session import scratch_path
 from .catalog import L, query
 from .oracle_ctes import AS_OF, RUN_TS, with_ctes
+from .pipeline import REQUIRED_COLUMNS as PIPELINE_COLUMNS, write_and_check
 
 BRONZE = ("bronze_customer_events", "bronze_transaction_events", "bronze_product_events",
           "bronze_system_logs")
@@ -198,3 +200,33 @@ def q_dq_freshness(spark, sf_dir):
     layers = L(spark, sf_dir)
     return _union([Q.freshness(df, "processed_at", t, layers.cfg.run_timestamp, layers.cfg.freshness_hours)
                    for t, df in layers.bronze.by_table().items()])
+
+
+# ---- DQ3, DQ4 while writing (T9) ------------------------------------------------------------
+
+WRITTEN_COLUMNS = {"silver_transactions": PIPELINE_COLUMNS["silver_transactions"], "silver_customers": PIPELINE_COLUMNS["silver_customers"]}
+
+_written_sql = " UNION ALL ".join(f"""
+SELECT 'complete' AS check_name, '{t}' AS table_name, '{c}' AS measure, COUNT(*) - COUNT("{c}") AS failed, COUNT(*) AS total_rows,
+  CASE WHEN COUNT(*) - COUNT("{c}") <= 0.05 * COUNT(*) THEN 'PASS' ELSE 'FAIL' END AS status
+FROM {t}""" for t, cols in WRITTEN_COLUMNS.items() for c in cols) + f"""
+UNION ALL
+SELECT 'rows', 'silver_customers', 'failed_records', bad, total, CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END
+FROM (SELECT COUNT(*) FILTER (email NOT LIKE '%@%' OR total_spent < 0 OR created_at > {RUN_TS}) AS bad, COUNT(*) AS total
+      FROM silver_customers) x"""
+
+
+@query("dq_while_writing", with_ctes(_written_sql, "silver_transactions", "silver_customers"))
+def q_dq_while_writing(spark, sf_dir):
+    """Silver is written once; its row checks and completeness come from the rows on their way to the files."""
+    layers = L(spark, sf_dir)
+    out, cfg = scratch_path(spark, "checked"), layers.cfg
+    complete = {t: Q.completeness_check(t, cols, cfg.max_null_percentage) for t, cols in WRITTEN_COLUMNS.items()}
+    tx = write_and_check(layers.silver_tx, f"{out}/silver_transactions", {"complete": complete["silver_transactions"]})
+    cust = write_and_check(layers.silver_cust, f"{out}/silver_customers", {
+        "complete": complete["silver_customers"], "rows": Q.row_check(cfg.run_timestamp)})
+    filled = [r.select(F.lit("complete").alias("check_name"), "table_name", F.col("column_name").alias("measure"),
+                       F.col("null_count").alias("failed"), "total_rows", "status") for r in (tx["complete"], cust["complete"])]
+    rows = cust["rows"].select(F.lit("rows").alias("check_name"), "table_name", F.lit("failed_records").alias("measure"),
+                               F.col("failed_records").alias("failed"), "total_rows", "status")
+    return _union([*filled, rows])

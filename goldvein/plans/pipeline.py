@@ -37,6 +37,7 @@ from ..config import PipelineConfig
 from ..operators import gold_customer as GC
 from ..operators import gold_metrics as GM
 from ..operators import quality as Q
+from ..operators.observed import write_checked
 from ..operators import silver as S
 from ..operators import products as P
 from ..schemas import STREAMS, with_lineage
@@ -69,20 +70,27 @@ class RunResult:
             self.seconds[name] = round(time.perf_counter() - t, 3)
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Full rebuild of a layer table (S9). Partitioned tables are rebalanced on the
-    partition column first: AQE splits a hot partition value into several
-    files instead of one huge task."""
-    w = df
-    if partition_by:
-        w = df.hint("rebalance", partition_by)
-    writer = w.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+def _laid_out(df: DataFrame, partition_by: str | None) -> DataFrame:
+    """Rows of one partition value together; AQE splits a hot one into several files instead of one huge task."""
+    return df.hint("rebalance", partition_by) if partition_by else df
+
+
+def _written(df: DataFrame, path: str, partition_by: str | None) -> str:
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
+def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+    """Full rebuild of a layer table."""
+    return _written(_laid_out(df, partition_by), path, partition_by)
+
+
+def write_and_check(df: DataFrame, path: str, checks: dict[str, Q.Check], partition_by: str | None = None) -> dict[str, DataFrame]:
+    """``write_table`` with checks on the rows as they are written."""
+    return write_checked(_laid_out(df, partition_by), lambda rows: _written(rows, path, partition_by), checks)
+
+
 def append_bronze(frames: dict[str, DataFrame], bronze_root: str) -> dict[str, str]:
     """Batch form of the bronze sink (S4): append each frame to bronze/<table>/batch."""
     schemas = dict(STREAMS.values())
@@ -120,7 +128,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
     gate (DQ2) stops the run before silver when a bronze table fails DQ1 or is missing.
     Layer tests (DQ3, DQ6, DQ7) stop the run when they fail, but for the
     ``known_failures`` that the caller names (all with ``enforce_tests=False``);
-    completeness, volume and freshness (DQ4, DQ5, DQ8) are recorded. A quiet
+    completeness, volume and freshness (DQ4, DQ5, DQ8) are recorded. Row checks and
+    completeness are gathered while a table is written. A quiet
     stream is a table without new rows, not an error. ``max_files_per_trigger``
     bounds the ingest's micro-batches.
     """
@@ -148,6 +157,7 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
         record = lambda name, df: _record(spark, result, out_dir, name, df, cfg,
                                           enforce_tests and name in TESTS and name not in known_failures)
         union = lambda parts: reduce(DataFrame.unionByName, parts)
+        complete = lambda t: Q.completeness_check(t, REQUIRED_COLUMNS[t], cfg.max_null_percentage)
         record("bronze_volume", union([Q.volume(df, "timestamp", t, cfg.min_row_count, cfg.max_volume_change_pct, cfg.tolerant_casts)
                                        for t, df in bronze.items()]))
         record("bronze_freshness", union([Q.freshness(df, "processed_at", t, cfg.run_timestamp, cfg.freshness_hours, cfg.tolerant_casts)
@@ -157,9 +167,12 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
         silver_tx = S.silver_transactions(bronze["bronze_transaction_events"], cfg)
         silver_cust = S.silver_customers(bronze["bronze_customer_events"], bronze["bronze_transaction_events"],
                                          bronze["bronze_product_events"], cfg)
-        result.paths["silver_transactions"] = write_table(
-            silver_tx, f"{out_dir}/silver/silver_transactions", cfg.silver_partition_by)
-        result.paths["silver_customers"] = write_table(silver_cust, f"{out_dir}/silver/silver_customers")
+        for t in ("silver_transactions", "silver_customers"):
+            result.paths[t] = f"{out_dir}/silver/{t}"
+        tx_checks = write_and_check(silver_tx, result.paths["silver_transactions"], {"complete": complete("silver_transactions")},
+                                    cfg.silver_partition_by)
+        cust_checks = write_and_check(silver_cust, result.paths["silver_customers"], {
+            "rows": Q.row_check(cfg.run_timestamp), "complete": complete("silver_customers")})
         result.paths["silver_products"] = write_table(
             P.silver_products(bronze["bronze_product_events"], cfg.tolerant_casts), f"{out_dir}/silver/silver_products")
         result.paths["silver_sessions"] = write_table(
@@ -169,19 +182,19 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
     scu = spark.read.parquet(result.paths["silver_customers"])
 
     with result.phase("silver_tests"):  # T9
-        record("silver_row_checks", Q.row_checks(scu, cfg.run_timestamp))
+        record("silver_row_checks", cust_checks["rows"])
         record("silver_uniqueness", union([
             Q.uniqueness(stx, "silver_transactions", ["transaction_id"]),
             Q.uniqueness(scu, "silver_customers", ["customer_id"]),
             Q.uniqueness(scu, "silver_customers", ["email"]),
         ]))
         record("silver_referential", Q.referential(stx, scu, "customer_id", "silver_transactions", "silver_customers"))
-        record("silver_completeness", union([Q.completeness(df, t, REQUIRED_COLUMNS[t], cfg.max_null_percentage)
-                                             for t, df in (("silver_transactions", stx), ("silver_customers", scu))]))
+        record("silver_completeness", union([tx_checks["complete"], cust_checks["complete"]]))
 
     with result.phase("gold"):
-        result.paths["gold_customer_analytics"] = write_table(
-            GC.gold_customer_analytics(scu, stx, cfg), f"{out_dir}/gold/gold_customer_analytics")
+        result.paths["gold_customer_analytics"] = f"{out_dir}/gold/gold_customer_analytics"
+        gold_checks = write_and_check(GC.gold_customer_analytics(scu, stx, cfg), result.paths["gold_customer_analytics"],
+                                      {"complete": complete("gold_customer_analytics")})
         result.paths["gold_business_metrics"] = write_table(
             GM.gold_business_metrics(stx, scu, cfg), f"{out_dir}/gold/gold_business_metrics", "metric_type")
         result.paths["gold_cohort_analysis"] = write_table(P.cohort_retention(stx), f"{out_dir}/gold/gold_cohort_analysis")
@@ -193,6 +206,5 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
     with result.phase("gold_tests"):  # T9
         record("gold_uniqueness", Q.uniqueness(gca, "gold_customer_analytics", ["customer_id"]))
         record("gold_referential", Q.referential(gca, scu, "customer_id", "gold_customer_analytics", "silver_customers"))
-        record("gold_completeness", Q.completeness(gca, "gold_customer_analytics", REQUIRED_COLUMNS["gold_customer_analytics"],
-                                                   cfg.max_null_percentage))
+        record("gold_completeness", gold_checks["complete"])
     return result
