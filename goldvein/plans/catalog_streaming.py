@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..schemas import CUSTOMER_EVENT, SYSTEM_LOG, TRANSACTION_EVENT
 from ..session import scratch_path
 from ..sources.landing import to_envelope, write_landing
+from ..streaming import compaction
 from ..streaming import ingest as I
 from ..streaming import once as O
 from ..streaming import windows as W
@@ -167,3 +168,18 @@ def q_bronze_drift(spark, sf_dir):
     write_landing(landed, landing)
     I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg).await_all()
     return I.drift_report(I.read_unknown(spark, f"{out}/table", CUSTOMER_EVENT)).drop("first_seen")
+
+
+@query("stream_compaction", with_ctes(f"""
+SELECT {_fields(CUSTOMER_EVENT)} FROM bronze_customer_events""", "bronze_customer_events"))
+def q_stream_compaction(spark, sf_dir):
+    """Half of the events streamed, compacted, then the other half streamed and compacted; every row reads back once."""
+    layers = L(spark, sf_dir)
+    events = layers.bronze.customer_events
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    out, landing = scratch_path(spark, "bronze"), scratch_path(spark, "landing")
+    for part in range(2):
+        write_landing(to_envelope(events.where(half == part), CUSTOMER_EVENT), landing)
+        I.start_ingest(spark, landing, CUSTOMER_EVENT, f"{out}/table", f"{out}/_checkpoints", layers.cfg, max_files_per_trigger=4).await_all()
+        compaction.compact(spark, f"{out}/table", I.sink_schema(CUSTOMER_EVENT), part)
+    return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT).select(*[f.name for f in CUSTOMER_EVENT.fields])

@@ -27,6 +27,7 @@ partitioned by record_status (valid | quarantined)
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from ..config import PipelineConfig
 from ..functions import rules as R
 from ..schemas import ENVELOPE, STREAMS, with_lineage
 from ..session import path_exists
+from . import compaction
 
 CORRUPT_ENVELOPE = "_corrupt_record"
 CORRUPT_PAYLOAD = "_corrupt_payload"
@@ -154,7 +156,7 @@ def ingest_rows(decoded: DataFrame, payload_schema: T.StructType) -> DataFrame:
 
 # A bronze table has one folder per writer. The stream's is read through its commit
 # log, which hides files that others put there; so the batch append has its own.
-STREAM, BATCH, ONCE = "stream", "batch", "once"  # ONCE: see streaming.once
+STREAM, BATCH, ONCE = compaction.STREAM, "batch", "once"  # ONCE: see streaming.once
 
 
 def sink_schema(payload_schema: T.StructType) -> T.StructType:
@@ -172,7 +174,8 @@ def _part(spark: SparkSession, root: str, part: str, schema: T.StructType) -> Da
 
 def _streamed(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
     schema = sink_schema(payload_schema)
-    return _part(spark, root, STREAM, schema).unionByName(_part(spark, root, ONCE, schema).select(*schema.fieldNames()))
+    parts = [compaction.unmerged(spark, root, schema), compaction.merged(spark, root, schema), _part(spark, root, ONCE, schema).select(*schema.fieldNames())]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_bronze(spark: SparkSession, root: str, payload_schema: T.StructType) -> DataFrame:
@@ -245,14 +248,17 @@ class IngestQuery:
 def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T.StructType, table_root: str,
                  checkpoint_dir: str, cfg: PipelineConfig = C.DEFAULT,
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None) -> IngestQuery:
+                 max_files_per_trigger: int | None = None, envelopes: DataFrame | None = None,
+                 retention: str | None = None) -> IngestQuery:
     """S1-S6 for one stream: one query, exactly-once into ``table_root``/stream (Parquet,
     partitioned by record_status).
 
     The source is the landing folder, or any streaming DataFrame of envelopes
     (``envelopes``, e.g. from ``envelopes_from_records``). ``available_now``
     processes everything available and stops (the hourly run, T1);
-    ``processing_time="1 hour"`` keeps the query running instead.
+    ``processing_time="1 hour"`` keeps the query running instead. ``retention``
+    ("30d") lets the sink's log forget older files; it must be much longer than
+    the time between two runs of ``compaction.compact``, which takes their rows over.
     """
     source = envelopes if envelopes is not None else envelope_stream(spark, landing_dir, max_files_per_trigger)
     decoded = decode(source, payload_schema, cfg, per_batch_time=not available_now).observe(
@@ -261,6 +267,7 @@ def start_ingest(spark: SparkSession, landing_dir: str | None, payload_schema: T
     rows = deduplicate(ingest_rows(decoded, payload_schema), cfg.dedup_watermark)
     w = (rows.writeStream.format("parquet").option("path", f"{table_root}/{STREAM}")
          .option("checkpointLocation", checkpoint_dir).partitionBy(RECORD_STATUS).outputMode("append"))
+    w = w.option("retention", retention) if retention else w
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
     return IngestQuery(w.start())
 
