@@ -18,7 +18,7 @@ from .. import config as C
 from ..config import PipelineConfig
 from ..functions import rules as R
 from .asof import asof_latest
-from .ranking import global_ntile
+from .ranking import global_ntiles
 from .sessions import sessionize
 
 
@@ -189,14 +189,11 @@ def rfm_quintiles(tx_metrics: DataFrame, partitions: int | None = None) -> DataF
     """K9, ntile variant: per customer with a completed transaction, quintiles 1-5
     of recency (last transaction date), frequency (completed count) and monetary
     value (USD revenue); ties are broken by customer_id. Exact global tiles
-    without a single-task window (``ranking.global_ntile``)."""
-    base = tx_metrics.select("customer_id", "last_transaction_date", "total_transactions_detailed",
-                             "total_revenue_usd")
-    for col, out in (("last_transaction_date", "r_quintile"), ("total_transactions_detailed", "f_quintile"),
-                     ("total_revenue_usd", "m_quintile")):
-        base = global_ntile(base, [col, "customer_id"], 5, out, partitions)
-    return base.select("customer_id", "r_quintile", "f_quintile", "m_quintile",
-                       (F.col("r_quintile") + F.col("f_quintile") + F.col("m_quintile")).alias("rfm_quintile_total"))
+    without a single-task window, all three in one pass (``ranking.global_ntiles``)."""
+    tiles = global_ntiles(tx_metrics, "customer_id", {
+        "r_quintile": F.unix_date("last_transaction_date"), "f_quintile": F.col("total_transactions_detailed"),
+        "m_quintile": F.col("total_revenue_usd")}, 5, partitions)
+    return tiles.withColumn("rfm_quintile_total", F.col("r_quintile") + F.col("f_quintile") + F.col("m_quintile"))
 
 
 def system_log_metrics(bronze_logs: DataFrame, tolerant: bool = False) -> DataFrame:

@@ -56,3 +56,29 @@ def global_ntile(df: DataFrame, order_cols: list[str], tiles: int, out: str,
     total = df.count()  # one scalar
     ranked = global_rank(df, order_cols, "_rank", partitions)
     return ranked.withColumn(out, ntile_from_rank(F.col("_rank"), F.lit(total), tiles)).drop("_rank")
+
+
+def global_ntiles(df: DataFrame, id_col: str, measures: dict[str, Column], tiles: int,
+                  partitions: int | None = None) -> DataFrame:
+    """``id_col`` and, per measure (output name -> numeric column), its NTILE(tiles) OVER (ORDER BY measure, id).
+
+    All measures are ranked at once: ``df`` is computed once, one narrow row a measure and id is
+    range-partitioned and written once, and totals come from the counts per partition.
+    ``id_col`` must be unique; NULL measures come first, as a NULL id does.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), v.cast("double").alias("_v")) for i, v in enumerate(measures.values())]))
+    sliced = (df.select(id_col, pairs.alias("_p")).select(id_col, "_p._m", "_p._v")
+              .repartitionByRange(n, "_m", "_v", id_col)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    measure = Window.partitionBy("_m")
+    earlier = measure.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (sliced.groupBy("_m", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+             .select("_m", "_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(measure).alias("_total")))
+    inside = F.row_number().over(Window.partitionBy("_m", "_pid").orderBy("_v", id_col))
+    tiled = sliced.withColumn("_r", inside).join(sizes, ["_m", "_pid"]).select(
+        id_col, "_m", ntile_from_rank(F.col("_before") + F.col("_r"), F.col("_total"), tiles).alias("_tile"))
+    return tiled.groupBy(id_col).agg(*[F.max(F.when(F.col("_m") == i, F.col("_tile"))).alias(out) for i, out in enumerate(measures)])

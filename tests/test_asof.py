@@ -75,6 +75,20 @@ def test_sessionize_matches_brute_force_with_hot_key(spark):
     assert {k: sorted(v) for k, v in got.items()} == brute_sessions(events, 1800)
 
 
+def test_global_ntiles_of_several_measures(spark):
+    from pyspark.sql import functions as F
+
+    from goldvein.operators.ranking import global_ntiles
+    rnd = random.Random(5)
+    for n in (0, 1, 4, 23, 301):
+        rows = [(f"c{i:04d}", rnd.choice([1.0, 2.0, None]), rnd.randint(0, 10 ** 12)) for i in range(n)]
+        df = spark.createDataFrame(rows, "id string, v double, w long")
+        got = {r.id: (r.a, r.b) for r in global_ntiles(df, "id", {"a": F.col("v"), "b": F.col("w")}, 5, partitions=7).collect()}
+        df.createOrReplaceTempView("ntiles_rows")
+        want = spark.sql("SELECT id, ntile(5) OVER (ORDER BY v, id) AS a, ntile(5) OVER (ORDER BY w, id) AS b FROM ntiles_rows").collect()
+        assert got == {r.id: (r.a, r.b) for r in want}, n
+
+
 def test_global_ntile_matches_sql_ntile(spark):
     from goldvein.operators.ranking import global_ntile
     rnd = random.Random(3)
