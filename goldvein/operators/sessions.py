@@ -50,3 +50,20 @@ def sessionize(events: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("actions")))).alias("actions"),
                  F.min("device_type").alias("device_type"))
             .select(key, *SESSION_COLUMNS))
+
+
+def merge_sessions(parts: DataFrame, key: str, gap: str) -> DataFrame:
+    """Sessions from parts of sessions (key, n_events, first_event, last_event) that may overlap or be nested.
+
+    Parts within ``gap`` of each other are one session. A key's parts are put in
+    order by one task, so callers add up single events per slice first.
+    """
+    interval = F.expr(f"INTERVAL {gap}")
+    by_time = Window.partitionBy(key).orderBy("first_event", "last_event")
+    before = F.max("last_event").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = (parts.withColumn("_new", F.when(before + interval >= F.col("first_event"), 0).otherwise(1))
+                .withColumn("_session", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0))))
+    return (numbered.groupBy(key, "_session")
+            .agg(F.min("first_event").alias("session_start"), (F.max("last_event") + interval).alias("session_end"),
+                 F.sum("n_events").alias("n_events"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+            .drop("_session"))

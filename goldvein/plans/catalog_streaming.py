@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import rules as R
 from ..schemas import CUSTOMER_EVENT, SYSTEM_LOG, TRANSACTION_EVENT
 from ..session import scratch_path
 from ..sources.landing import to_envelope, write_landing
@@ -32,13 +33,6 @@ def _land(layers, bronze_df, schema, deliveries: int = 1) -> str:
     return path
 
 
-def _bronze(layers, landing, schema):
-    """What the ingest writes of a landing folder, read back."""
-    out = scratch_path(layers.spark, "bronze")
-    I.start_ingest(layers.spark, landing, schema, f"{out}/table", f"{out}/_checkpoints", layers.cfg).await_all()
-    return I.read_bronze(layers.spark, f"{out}/table", schema)
-
-
 @query("event_envelope", with_ctes(f"""
 SELECT {_fields(TRANSACTION_EVENT)}, kinesis_sequence_number,
   COALESCE(customer_id, event_id, 'default') AS kinesis_partition_key
@@ -65,7 +59,38 @@ def q_stream_ingest_dedup(spark, sf_dir):
     return I.read_bronze(spark, f"{out}/table", CUSTOMER_EVENT).drop("processed_at")
 
 
-@query("stream_sessions", with_ctes("""
+def _in_runs(layers, bronze_df, schema, run, runs: int = 3) -> None:
+    """Delivers the events in ``runs`` parts by their time, every tenth of them one part late; ``run(landing)`` after each."""
+    seconds = F.unix_seconds(R.utc_instant("timestamp"))
+    first, last = bronze_df.agg(F.min(seconds), F.max(seconds)).first()
+    width = ((last or 0) - (first or 0)) // runs + 1
+    straggler = F.when(F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0, 1).otherwise(0)
+    part = F.coalesce(F.least(F.floor((seconds - (first or 0)) / width) + straggler, F.lit(runs - 1)), F.lit(0))
+    landing = scratch_path(layers.spark, "landing")
+    for n in range(runs):
+        write_landing(to_envelope(bronze_df.where(part == n), schema), landing)
+        run(landing)
+
+
+def _session_run(layers) -> str:
+    """Sessions of the customer events, streamed in three runs with late rows; the folder of results and checkpoint."""
+    spark, out = layers.spark, scratch_path(layers.spark, "sessions")
+
+    def run(landing):
+        events = I.valid_events(I.decode(I.envelope_stream(spark, landing), CUSTOMER_EVENT, layers.cfg), CUSTOMER_EVENT)
+        W.run_with_late_rows(spark, lambda mark: W.sessions_and_late_rows(spark, events, mark, layers.cfg.session_gap),
+                             f"{out}/data", f"{out}/_ckpt")
+    _in_runs(layers, layers.bronze.customer_events, CUSTOMER_EVENT, run)
+    return out
+
+
+def _whole_sessions(layers, out: str, until):
+    spark = layers.spark
+    return W.complete_sessions(W.arrived(spark, f"{out}/data", W.ON_TIME), W.arrived(spark, f"{out}/data", W.LATE),
+                               W.open_sessions(spark, f"{out}/_ckpt"), until, layers.cfg.session_gap)
+
+
+SESSIONS_SQL = """
 SELECT customer_id, first_event AS session_start, last_event + INTERVAL 30 MINUTE AS session_end,
   n_events, first_event, last_event
 FROM (
@@ -80,20 +105,25 @@ FROM (
              THEN 1 ELSE 0 END AS new_session
       FROM (SELECT customer_id, CAST(timestamp AS TIMESTAMP) AS ts FROM bronze_customer_events
             WHERE customer_id IS NOT NULL) e) g) s
-  GROUP BY customer_id, sid) x
+  GROUP BY customer_id, sid) x"""
+
+
+@query("stream_sessions", with_ctes(SESSIONS_SQL + """
 WHERE last_event + INTERVAL 30 MINUTE <=
   (SELECT MAX(CAST(timestamp AS TIMESTAMP)) FROM bronze_customer_events WHERE customer_id IS NOT NULL)
   - INTERVAL 30 MINUTE""", "bronze_customer_events"))
 def q_stream_sessions(spark, sf_dir):
-    """30-minute-gap sessions per customer from the event stream; closed sessions only."""
+    """30-minute-gap sessions per customer from the event stream, late rows merged in; closed sessions only."""
     layers = L(spark, sf_dir)
-    landing = _land(layers, layers.bronze.customer_events, CUSTOMER_EVENT)
-    source = I.envelope_stream(spark, landing, max_files_per_trigger=2)  # several micro-batches
-    events = I.valid_events(I.decode(source, CUSTOMER_EVENT, layers.cfg), CUSTOMER_EVENT)
-    out = scratch_path(spark, "sessions")
-    W.run_to_parquet(W.customer_sessions(spark, events, layers.cfg.session_gap), f"{out}/data", f"{out}/_ckpt")
-    emitted = spark.read.parquet(f"{out}/data")
-    return W.complete_sessions(emitted, _bronze(layers, landing, CUSTOMER_EVENT), layers.cfg.session_gap)
+    out = _session_run(layers)
+    return _whole_sessions(layers, out, W.closed_until(spark, f"{out}/_ckpt"))
+
+
+@query("stream_sessions_with_open", with_ctes(SESSIONS_SQL, "bronze_customer_events"))
+def q_stream_sessions_with_open(spark, sf_dir):
+    """All sessions at the end of the stream: emitted ones, those open in the state store, and late rows account for every event."""
+    layers = L(spark, sf_dir)
+    return _whole_sessions(layers, _session_run(layers), None)
 
 
 @query("stream_hourly_counts", with_ctes("""
@@ -105,17 +135,15 @@ SELECT window_start, window_end, service, level, n_events, n_5xx FROM (
 WHERE window_end <= (SELECT MAX(CAST(timestamp AS TIMESTAMP)) FROM bronze_system_logs) - INTERVAL 1 HOUR""",
     "bronze_system_logs"))
 def q_stream_hourly_counts(spark, sf_dir):
-    """Hourly events and 5xx per service and level from the system-log stream; closed windows only."""
+    """Hourly events and 5xx per service and level from the system-log stream, late rows added; closed windows only."""
     layers = L(spark, sf_dir)
-    landing = _land(layers, layers.bronze.system_logs, SYSTEM_LOG)
-    source = I.envelope_stream(spark, landing, max_files_per_trigger=2)  # several micro-batches
-    logs = I.valid_events(I.decode(source, SYSTEM_LOG, layers.cfg), SYSTEM_LOG)
     out = scratch_path(spark, "hourly")
-    late = W.run_to_parquet(W.hourly_log_counts(spark, logs), f"{out}/data", f"{out}/_ckpt")
-    if late:
-        return W.complete_hourly_counts(_bronze(layers, landing, SYSTEM_LOG))
-    return spark.read.parquet(f"{out}/data").select(
-        "window_start", "window_end", "service", "level", "n_events", F.col("n_5xx"))
+
+    def run(landing):
+        logs = I.valid_events(I.decode(I.envelope_stream(spark, landing), SYSTEM_LOG, layers.cfg), SYSTEM_LOG)
+        W.run_with_late_rows(spark, lambda mark: W.hourly_counts_and_late_rows(spark, logs, mark), f"{out}/data", f"{out}/_ckpt")
+    _in_runs(layers, layers.bronze.system_logs, SYSTEM_LOG, run)
+    return W.complete_hourly_counts(W.arrived(spark, f"{out}/data", W.ON_TIME), W.arrived(spark, f"{out}/data", W.LATE))
 
 
 @query("bronze_stream_and_batch", with_ctes(f"""

@@ -6,21 +6,32 @@ end, and its state is dropped then. Sessions are merged inside each input
 partition before the shuffle (see ``session.RECOMMENDED_CONF``), so a hot
 customer ships sessions rather than raw events.
 
-Landed files are not ordered by event time, so over several micro-batches rows
-may arrive behind the watermark; Spark drops them from the state. None is lost:
-``run_to_parquet`` returns how many were dropped, and ``complete_sessions`` and
-``complete_hourly_counts`` bring the emitted results to what all rows written to
-bronze give - for sessions by working out again only the keys whose emitted
-sessions don't account for their rows.
+Landed files are not ordered by event time, so a run may bring rows that are
+behind the watermark of the runs before. Spark would drop them from the state;
+``run_with_late_rows`` turns them aside instead, while they pass: windows and
+late rows leave one query through one exactly-once sink, in folders of their own
+(``arrival=on_time`` and ``arrival=late``). ``complete_sessions`` and
+``complete_hourly_counts`` bring the emitted results to what all rows give by
+merging the late rows into the windows of their keys, without reading bronze:
+a late row is a session of one event, and sessions within the gap of each other
+are one. Sessions that are still open are read from the state store
+(``open_sessions``), so that emitted + open + late rows account for the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules as R
-from ..operators.sessions import sessionize
+from ..operators.sessions import merge_sessions
+from ..session import path_exists
+
+ARRIVAL, ON_TIME, LATE = "arrival", "on_time", "late"
 
 
 def utc_wall_clock(spark: SparkSession, c: Column) -> Column:
@@ -65,56 +76,123 @@ def hourly_log_counts(spark: SparkSession, logs: DataFrame, delay: str = "1 hour
                       "service", "level", "n_events", "n_5xx")
 
 
-def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> int:
-    """Append-mode, exactly-once Parquet sink; processes what is available and stops.
+def watermark_ms(spark: SparkSession, checkpoint: str) -> int:
+    """The watermark that the next micro-batch starts with, in milliseconds; 0 before the first one."""
+    commits = f"{checkpoint}/commits"
+    if not path_exists(spark, commits):
+        return 0
+    marks = spark.read.text(commits).where(F.col("value").startswith("{"))  # a bounded number of small files
+    return marks.agg(F.max(F.get_json_object("value", "$.nextBatchWatermarkMs").cast("long"))).first()[0] or 0
 
-    Returns the number of rows that came behind the watermark and were dropped
-    from the state.
-    """
-    q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    late: dict[int, int] = {}
+
+def closed_until(spark: SparkSession, checkpoint: str) -> datetime:
+    """UTC wall-clock time up to which windows have been emitted."""
+    return datetime(1970, 1, 1) + timedelta(milliseconds=watermark_ms(spark, checkpoint))
+
+
+def _newest_batch(spark: SparkSession, folder: str) -> int:
+    if not path_exists(spark, folder):
+        return -1
+    newest = spark.read.text(folder).agg(F.max(F.expr("try_cast(_metadata.file_name AS BIGINT)"))).first()[0]
+    return -1 if newest is None else newest
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Waits for the end of a query; rows that its state operators dropped as late."""
+    dropped: dict[int, int] = {}
     ended = False
     while not ended:  # Spark keeps the last progress reports only: gather them on the way
-        ended = q.awaitTermination(1)
-        late |= {p["batchId"]: sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]) for p in q.recentProgress}
-    return sum(late.values())
+        ended = query.awaitTermination(1)
+        dropped |= {p["batchId"]: sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]) for p in query.recentProgress}
+    return sum(dropped.values())
 
 
-def complete_sessions(emitted: DataFrame, events: DataFrame, gap: str = "30 minutes", delay: str | None = None,
-                      key: str = "customer_id") -> DataFrame:
-    """The closed sessions that all ``events`` give, from those a stream emitted.
+def run_with_late_rows(spark: SparkSession, plan: Callable[[int], DataFrame], path: str, checkpoint: str) -> None:
+    """Append-mode, exactly-once Parquet sink; processes what is available and stops.
 
-    ``events`` are the rows the stream was given, read from bronze. A key is
-    worked out again, by the batch operator that splits hot keys, if its
-    emitted sessions don't hold exactly its rows up to their end or overlap, or
-    if it has later rows that the final watermark has passed.
+    ``plan(watermark)`` gives the windows and late rows of one run, such as
+    ``sessions_and_late_rows``. The watermark moves between micro-batches, so a
+    run reads what is there in one of them (its source must not limit files per
+    trigger). A micro-batch that a lost run left unfinished is ended by itself
+    first, with the watermark it had.
+    """
+    left = True
+    while left:
+        left = _newest_batch(spark, f"{checkpoint}/offsets") > _newest_batch(spark, f"{checkpoint}/commits")
+        w = (plan(watermark_ms(spark, checkpoint)).writeStream.format("parquet").option("path", path)
+             .option("checkpointLocation", checkpoint).partitionBy(ARRIVAL).outputMode("append"))
+        dropped = dropped_rows((w.trigger(once=True) if left else w.trigger(availableNow=True)).start())
+        if dropped:
+            raise RuntimeError(f"{dropped} late rows were dropped: the source gave more than one micro-batch to a run")
+
+
+def arrived(spark: SparkSession, path: str, arrival: str) -> DataFrame:
+    """What ``run_with_late_rows`` wrote: emitted windows (``ON_TIME``) or late rows (``LATE``)."""
+    return spark.read.parquet(path).where(F.col(ARRIVAL) == arrival).drop(ARRIVAL)
+
+
+def sessions_and_late_rows(spark: SparkSession, events: DataFrame, watermark: int, gap: str = "30 minutes",
+                           delay: str | None = None, key: str = "customer_id") -> DataFrame:
+    """``customer_sessions`` of the events after the watermark, and each other event as a session of its own.
+
+    An event up to the watermark may be within the gap of a session that was
+    emitted; one after it is not, and Spark drops none of them. Events without
+    key or time don't count. The source is read by both branches.
     """
     ts = F.col("event_ts")
-    rows = events.where(F.col(key).isNotNull()).withColumn("event_ts", R.to_ts("timestamp", tolerant=True)).where(ts.isNotNull())
-    newest = rows.agg((F.max(ts) - F.expr(f"INTERVAL {delay or gap}"))).first()[0]  # one value
-    horizon = R.ts_ntz(newest) if newest else F.lit(None).cast("timestamp_ntz")
-    ends = emitted.groupBy(key).agg(F.max("session_end").alias("_until"), F.sum("n_events").alias("_held"))
-    seen = (rows.join(ends, key, "left")
-            .groupBy(key).agg(
-                F.count(F.when(ts <= F.col("_until"), 1)).alias("_rows"), F.coalesce(F.max("_held"), F.lit(0)).alias("_held"),
-                F.count(F.when((F.col("_until").isNull() | (ts > F.col("_until"))) & (ts + F.expr(f"INTERVAL {gap}") <= horizon), 1))
-                .alias("_left")))
-    # a row within the gap of a session that was already emitted makes a second one that overlaps it
-    before = F.lag("session_end").over(Window.partitionBy(key).orderBy("session_start", "session_end"))
-    overlapping = emitted.select(key, (before >= F.col("session_start")).alias("_overlaps")).where("_overlaps").select(key)
-    again = seen.where("_rows <> _held or _left > 0").select(key).unionByName(overlapping).distinct()
-    fixed = sessionize(rows.join(again, key, "left_semi"), key, "event_ts", gap).select(*emitted.columns)
-    return emitted.join(again, key, "left_anti").unionByName(fixed.where(F.col("session_end") <= horizon))
-
-
-def complete_hourly_counts(logs: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The closed hourly windows that all ``logs`` give, as ``hourly_log_counts`` emits them when no row is late."""
-    rows = logs.withColumn("event_ts", R.to_ts("timestamp", tolerant=True)).where("event_ts is not null")
-    counts = rows.groupBy(R.hour_start(F.col("event_ts")).alias("window_start"), "service", "level").agg(
-        F.count(F.lit(1)).alias("n_events"), R.count_when(F.col("status_code") >= 500).alias("n_5xx"))
-    end = F.col("window_start") + F.expr("INTERVAL 1 HOUR")
-    newest = rows.agg((F.max("event_ts") - F.expr(f"INTERVAL {delay}"))).first()[0]  # one value
-    horizon = R.ts_ntz(newest) if newest else F.lit(None).cast("timestamp_ntz")
-    return counts.where(end <= horizon).select(
-        "window_start", end.alias("window_end"), "service", "level", "n_events", "n_5xx")
+    passed = F.unix_millis(R.utc_instant("timestamp")) <= watermark
+    sessions = customer_sessions(spark, events.where(~passed), gap, delay, key)
+    rows = events.where(passed & F.col(key).isNotNull()).withColumn("event_ts", R.utc_instant("timestamp"))
+    at = utc_wall_clock(spark, ts)
+    late = rows.select(key, at.alias("session_start"), (at + F.expr(f"INTERVAL {gap}")).alias("session_end"),
+                       F.lit(1).cast("long").alias("n_events"), at.alias("first_event"), at.alias("last_event"))
+    return sessions.withColumn(ARRIVAL, F.lit(ON_TIME)).unionByName(late.withColumn(ARRIVAL, F.lit(LATE)))
+
+
+def hourly_counts_and_late_rows(spark: SparkSession, logs: DataFrame, watermark: int, delay: str = "1 hour") -> DataFrame:
+    """``hourly_log_counts`` of the rows whose window is open, and each other row as a window of its own."""
+    hour = F.floor(F.unix_millis(R.utc_instant("timestamp")) / 3_600_000)
+    passed = (hour + 1) * 3_600_000 <= watermark
+    counts = hourly_log_counts(spark, logs.where(~passed), delay)
+    start = utc_wall_clock(spark, F.timestamp_millis(hour * 3_600_000))
+    late = logs.where(passed).select(
+        start.alias("window_start"), (start + F.expr("INTERVAL 1 HOUR")).alias("window_end"), "service", "level",
+        F.lit(1).cast("long").alias("n_events"),
+        F.when(F.col("status_code") >= 500, 1).otherwise(0).cast("long").alias("n_5xx"))
+    return counts.withColumn(ARRIVAL, F.lit(ON_TIME)).unionByName(late.withColumn(ARRIVAL, F.lit(LATE)))
+
+
+def open_sessions(spark: SparkSession, checkpoint: str, key: str = "customer_id") -> DataFrame:
+    """The sessions that a session query holds in its state, not emitted yet."""
+    held = spark.read.format("statestore").load(checkpoint).select("value.*")
+    return held.select(
+        key,
+        utc_wall_clock(spark, F.col("session_window.start")).alias("session_start"),
+        utc_wall_clock(spark, F.col("session_window.end")).alias("session_end"),
+        F.col("count").alias("n_events"),
+        utc_wall_clock(spark, F.col("min")).alias("first_event"),
+        utc_wall_clock(spark, F.col("max")).alias("last_event"))
+
+
+def complete_sessions(emitted: DataFrame, late: DataFrame, still_open: DataFrame, until: datetime | None,
+                      gap: str = "30 minutes", key: str = "customer_id") -> DataFrame:
+    """The sessions closed by ``until`` that all rows give (None: all sessions, open ones too).
+
+    Only keys with late rows are merged again, from their sessions: those of
+    other keys are as emitted. Late rows are added up per gap-wide slice of a key
+    first, in each task, so a hot key ships no more than its slices.
+    """
+    keys = late.select(key).distinct()
+    slices = (late.groupBy(key, F.window("first_event", gap).alias("_slice"))
+              .agg(F.sum("n_events").alias("n_events"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event")))
+    columns = [key, "n_events", "first_event", "last_event"]
+    known = emitted.unionByName(still_open)
+    merged = merge_sessions(known.join(keys, key, "left_semi").select(columns).unionByName(slices.select(columns)), key, gap)
+    whole = known.join(keys, key, "left_anti").unionByName(merged.select(*emitted.columns))
+    return whole if until is None else whole.where(F.col("session_end") <= F.lit(until).cast("timestamp_ntz"))
+
+
+def complete_hourly_counts(emitted: DataFrame, late: DataFrame) -> DataFrame:
+    """The closed hourly windows that all rows give: late rows belong to closed windows alone and are added to them."""
+    return (emitted.unionByName(late).groupBy("window_start", "window_end", "service", "level")
+            .agg(F.sum("n_events").alias("n_events"), F.sum("n_5xx").alias("n_5xx")))

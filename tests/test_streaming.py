@@ -144,13 +144,112 @@ def test_zoned_and_date_only_timestamps(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_overlapping_emitted_sessions_become_one(spark):
-    from goldvein.functions import rules as rules_
-    from goldvein.operators.sessions import sessionize
-    from goldvein.streaming import windows
-    schema = "customer_id long, timestamp string, action string, device_type string"
-    rows = [(1, "2024-01-01T10:00:00", "a", "x"), (1, "2024-01-01T10:20:00", "b", "x"), (2, "2024-01-01T20:00:00", "a", "x")]
-    parts = [spark.createDataFrame([r], schema).withColumn("event_ts", rules_.to_ts("timestamp", tolerant=True)) for r in rows[:2]]
-    one, two = [sessionize(p, "customer_id", "event_ts", "30 minutes") for p in parts]
-    whole = windows.complete_sessions(one.unionByName(two), spark.createDataFrame(rows, schema)).collect()
-    assert [(r.customer_id, r.n_events) for r in whole] == [(1, 2)]
+SESSION_ROWS = "customer_id string, timestamp string"
+
+
+def _runs(spark, root, runs, watermark_moves=None):
+    """Streams each list of (customer, time) as one run; (emitted, late, open, until)."""
+    from goldvein.streaming import windows as W
+    for n, rows in enumerate(runs):
+        spark.createDataFrame(rows, SESSION_ROWS).coalesce(1).write.mode("append").json(f"{root}/in")
+        if watermark_moves:
+            watermark_moves(n)
+        events = spark.readStream.schema(SESSION_ROWS).json(f"{root}/in")
+        W.run_with_late_rows(spark, lambda mark: W.sessions_and_late_rows(spark, events, mark), f"{root}/out", f"{root}/ckpt")
+    return (W.arrived(spark, f"{root}/out", W.ON_TIME), W.arrived(spark, f"{root}/out", W.LATE), W.open_sessions(spark, f"{root}/ckpt"),
+            W.closed_until(spark, f"{root}/ckpt"))
+
+
+def _brute(rows, until=None):
+    """{(customer, first, last, events)} by going through each customer's events in order."""
+    from collections import defaultdict
+    from datetime import datetime, timedelta
+    gap, by, found = timedelta(minutes=30), defaultdict(list), set()
+    for c, t in rows:
+        if c is not None and t is not None:
+            by[c].append(datetime.fromisoformat(t))
+    for c, times in by.items():
+        session = []
+        for t in sorted(times) + [datetime.max]:
+            if session and (t == datetime.max or t - session[-1] > gap):
+                if until is None or session[-1] + gap <= until:
+                    found.add((c, session[0], session[-1], len(session)))
+                session = []
+            session.append(t)
+    return found
+
+
+def _rows(df):
+    rows = df.collect()
+    assert all(r.session_start == r.first_event for r in rows)
+    found = {(r.customer_id, r.first_event, r.last_event, r.n_events) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def test_late_rows_are_kept_aside_and_merged_by_key(spark, tmp_dir):
+    from goldvein.streaming import windows as W
+    runs = [
+        [("a", "2024-01-01T10:00:00"), ("a", "2024-01-01T10:10:00"), ("b", "2024-01-01T12:00:00"), (None, "2024-01-01T12:00:00"), ("c", None)],
+        # bridges a's session to nothing, b's first open session; extends a's; a second one; a repeated row; one on the watermark itself
+        [("a", "2024-01-01T10:35:00"), ("a", "2024-01-01T09:00:00"), ("a", "2024-01-01T09:00:00"), ("b", "2024-01-01T11:31:00"),
+         ("d", "2024-01-01T11:30:00"), ("e", "2024-01-01T18:00:00")],
+        [("a", "2024-01-01T09:25:00"), ("a", "2024-01-01T09:50:00"), ("e", "2024-01-01T17:35:00"), ("f", "2024-01-01T17:45:00")],
+    ]
+    everything = [r for part in runs for r in part]
+    emitted, late, still_open, until = _runs(spark, tmp_dir, runs)
+    counted = [r[0] or 0 for df in (emitted, late, still_open) for r in df.selectExpr("sum(n_events)").collect()]
+    assert sum(counted) == sum(c is not None and t is not None for c, t in everything) and all(counted)
+    assert _rows(W.complete_sessions(emitted, late, still_open, None)) == _brute(everything)
+    assert _rows(W.complete_sessions(emitted, late, still_open, until)) == _brute(everything, until)
+
+
+def test_late_rows_at_random(spark, tmp_dir):
+    import random
+    from goldvein.streaming import windows as W
+    rng, runs = random.Random(7), []
+    for n in range(3):
+        at = [rng.randint(0, 1440) if rng.random() < 0.3 else 480 * n + rng.randint(0, 480) for _ in range(150)]
+        runs.append([("hot" if rng.random() < 0.3 else f"k{rng.randint(0, 12)}", f"2024-01-0{1 + m // 1440}T{m % 1440 // 60:02}:{m % 60:02}:00") for m in at])
+    everything = [r for part in runs for r in part]
+    emitted, late, still_open, until = _runs(spark, tmp_dir, runs)
+    assert late.count() > 20 and emitted.count() > 20
+    assert _rows(W.complete_sessions(emitted, late, still_open, None)) == _brute(everything)
+    assert _rows(W.complete_sessions(emitted, late, still_open, until)) == _brute(everything, until)
+
+
+def test_a_run_that_was_lost_is_ended_before_the_next(spark, tmp_dir):
+    from goldvein.streaming import windows as W
+
+    def lose_last_commit(n):
+        if n == 1:  # as if the driver had died before the first run's last micro-batches were committed
+            commits = sorted((f for f in os.listdir(f"{tmp_dir}/ckpt/commits") if f.isdigit()), key=int)
+            for f in (commits[-1], f".{commits[-1]}.crc"):
+                os.remove(f"{tmp_dir}/ckpt/commits/{f}")
+    runs = [[("a", "2024-01-01T10:00:00"), ("b", "2024-01-01T12:00:00")], [("a", "2024-01-01T10:20:00"), ("b", "2024-01-01T15:00:00")],
+            [("b", "2024-01-01T12:30:00")]]
+    emitted, late, still_open, until = _runs(spark, tmp_dir, runs, lose_last_commit)
+    assert _rows(W.complete_sessions(emitted, late, still_open, None)) == _brute([r for part in runs for r in part])
+    assert late.count() == 2
+
+
+def test_no_rows_and_rows_without_time_or_key(spark, tmp_dir):
+    from goldvein.streaming import windows as W
+    emitted, late, still_open, until = _runs(spark, tmp_dir, [[(None, "2024-01-01T10:00:00"), ("a", None)], [("a", "1969-01-01T10:00:00")]])
+    assert (emitted.count(), late.count(), still_open.count()) == (0, 1, 0)
+    assert _rows(W.complete_sessions(emitted, late, still_open, None)) == _brute([("a", "1969-01-01T10:00:00")])
+
+
+def test_late_log_rows_are_added_to_their_hours(spark, tmp_dir):
+    from goldvein.streaming import windows as W
+    schema = "timestamp string, service string, level string, status_code int"
+    runs = [[("2024-01-01T10:05:00", "s", "INFO", 200), ("2024-01-01T13:00:00", "s", "INFO", 500)],
+            [("2024-01-01T10:59:00", "s", "INFO", 503), ("2024-01-01T09:00:00", None, "INFO", None), ("2024-01-01T12:10:00", "s", "INFO", 200)],
+            [("2024-01-01T20:00:00", "s", "INFO", 200)]]
+    for rows in runs:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{tmp_dir}/in")
+        logs = spark.readStream.schema(schema).json(f"{tmp_dir}/in")
+        W.run_with_late_rows(spark, lambda mark: W.hourly_counts_and_late_rows(spark, logs, mark), f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    whole = W.complete_hourly_counts(W.arrived(spark, f"{tmp_dir}/out", W.ON_TIME), W.arrived(spark, f"{tmp_dir}/out", W.LATE)).collect()
+    got = {(r.window_start.hour, r.window_end.hour, r.service, r.n_events, r.n_5xx) for r in whole}
+    assert got == {(9, 10, None, 1, 0), (10, 11, "s", 2, 1), (12, 13, "s", 1, 0), (13, 14, "s", 1, 1)} and len(whole) == 4
