@@ -26,27 +26,28 @@ def silver_products(bronze_prod: DataFrame, tolerant: bool = False) -> DataFrame
     """K1: per product_id - latest category and price (latest by event time, then
     event_id, price, category), event counts per action, units purchased,
     average rating, distinct customers, first and last event time."""
-    ts = R.to_ts("timestamp", tolerant)
-    latest = F.max(F.struct(ts.alias("ts"), F.col("event_id"), F.col("price"), F.col("category")))
+    # The latest row is a struct with texts, which only a sorting aggregation can hold, so it is found apart
+    # from the counters, which are hashed per (product, customer) first and then added up. Both sides are
+    # dealt by product_id, so their join moves nothing.
+    rows = bronze_prod.where(F.col("product_id").isNotNull()).withColumn("_ts", R.to_ts("timestamp", tolerant))
+    latest = rows.groupBy("product_id").agg(F.max(F.struct(F.col("_ts"), "event_id", "price", "category")).alias("latest"))
     act = F.col("action")
-    return (bronze_prod.where(F.col("product_id").isNotNull())
-            .groupBy("product_id")
-            .agg(latest.alias("latest"),
-                 F.count(F.lit(1)).alias("events"),
-                 R.count_when(act == "view").alias("views"),
-                 R.count_when(act == "add_to_cart").alias("add_to_carts"),
-                 R.count_when(act == "remove_from_cart").alias("removes_from_cart"),
-                 R.count_when(act == "purchase").alias("purchases"),
-                 R.count_when(act == "review").alias("reviews"),
-                 F.coalesce(F.sum(F.when(act == "purchase", F.col("quantity"))), F.lit(0)).alias("units_purchased"),
-                 F.avg("rating").alias("avg_rating"),
-                 F.countDistinct("customer_id").alias("unique_customers"),
-                 F.min(ts).alias("first_event_at"),
-                 F.max(ts).alias("last_event_at"))
-            .select("product_id", F.col("latest.category").alias("category"),
-                    F.col("latest.price").alias("latest_price"), "events", "views", "add_to_carts",
-                    "removes_from_cart", "purchases", "reviews", "units_purchased", "avg_rating",
-                    "unique_customers", "first_event_at", "last_event_at"))
+    actions = {"views": "view", "add_to_carts": "add_to_cart", "removes_from_cart": "remove_from_cart",
+               "purchases": "purchase", "reviews": "review"}
+    by_customer = rows.groupBy("product_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("events"), *[R.count_when(act == a).alias(n) for n, a in actions.items()],
+        F.sum(F.when(act == "purchase", F.col("quantity"))).alias("units"),
+        F.sum("rating").alias("ratings"), F.count("rating").alias("rated"),
+        F.min("_ts").alias("first_event_at"), F.max("_ts").alias("last_event_at"))
+    counters = by_customer.groupBy("product_id").agg(
+        F.sum("events").alias("events"), *[F.sum(n).alias(n) for n in actions],
+        F.coalesce(F.sum("units"), F.lit(0)).alias("units_purchased"),
+        F.try_divide(F.sum("ratings").cast("double"), F.sum("rated")).alias("avg_rating"),
+        F.count("customer_id").alias("unique_customers"),
+        F.min("first_event_at").alias("first_event_at"), F.max("last_event_at").alias("last_event_at"))
+    return counters.join(latest, "product_id").select(
+        "product_id", F.col("latest.category").alias("category"), F.col("latest.price").alias("latest_price"), "events", *actions,
+        "units_purchased", "avg_rating", "unique_customers", "first_event_at", "last_event_at")
 
 
 def silver_sessions(bronze_cust: DataFrame, gap: str = "30 minutes", tolerant: bool = False) -> DataFrame:
