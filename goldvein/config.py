@@ -61,6 +61,9 @@ class PipelineConfig:
     # days of a few rows, and by customer, whose number never changes once states are written.
     state_period: str = "day"
     state_slots: int = 64
+    # Customer tables as bucketed catalog tables of so many buckets, named with the prefix (plans/layout.py); None writes plain folders.
+    customer_buckets: int | None = None
+    table_prefix: str = "goldvein_"
     usd_rates: tuple = field(default=USD_RATES)
 
     @property

@@ -302,3 +302,4 @@ from . import catalog_quality  # noqa: E402,F401
 from . import catalog_streaming  # noqa: E402,F401
 from . import catalog_products  # noqa: E402,F401
 from . import catalog_incremental  # noqa: E402,F401
+from . import catalog_layout  # noqa: E402,F401

@@ -15,6 +15,8 @@ Layout under ``out_dir``::
     silver/silver_products/             K1
     silver/silver_sessions/             K2
     gold/gold_customer_analytics/
+    customers/<table>/b<buckets>/       silver_customers, customer_metrics and gold_customer_analytics instead,
+                                        where the config asks for bucketed tables
     gold/gold_business_metrics/         partitioned by metric_type
     gold/gold_cohort_analysis/          K3
     gold/gold_revenue_attribution/      K4
@@ -42,6 +44,7 @@ from ..operators import silver as S
 from ..operators import products as P
 from ..schemas import STREAMS, with_lineage
 from ..streaming import ingest as I
+from .layout import CustomerTables
 
 # Columns that must be filled (DQ4) in each written table.
 REQUIRED_COLUMNS = {
@@ -171,15 +174,20 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
             result.paths[t] = f"{out_dir}/silver/{t}"
         tx_checks = write_and_check(silver_tx, result.paths["silver_transactions"], {"complete": complete("silver_transactions")},
                                     cfg.silver_partition_by)
-        cust_checks = write_and_check(silver_cust, result.paths["silver_customers"], {
-            "rows": Q.row_check(cfg.run_timestamp), "complete": complete("silver_customers")})
+        profile_checks = {"rows": Q.row_check(cfg.run_timestamp), "complete": complete("silver_customers")}
+        tables = CustomerTables(spark, f"{out_dir}/customers", cfg.customer_buckets, cfg.table_prefix, cfg) if cfg.customer_buckets else None
+        if tables:
+            result.paths["silver_customers"] = tables.path("silver_customers")
+            cust_checks = write_checked(silver_cust, lambda rows: tables.put("silver_customers", rows), profile_checks)
+        else:
+            cust_checks = write_and_check(silver_cust, result.paths["silver_customers"], profile_checks)
         result.paths["silver_products"] = write_table(
             P.silver_products(bronze["bronze_product_events"], cfg.tolerant_casts), f"{out_dir}/silver/silver_products")
         result.paths["silver_sessions"] = write_table(
             P.silver_sessions(bronze["bronze_customer_events"], cfg.session_gap, tolerant=cfg.tolerant_casts),
             f"{out_dir}/silver/silver_sessions")
     stx = spark.read.parquet(result.paths["silver_transactions"])
-    scu = spark.read.parquet(result.paths["silver_customers"])
+    scu = tables.get("silver_customers") if tables else spark.read.parquet(result.paths["silver_customers"])
 
     with result.phase("silver_tests"):  # T9
         record("silver_row_checks", cust_checks["rows"])
@@ -193,15 +201,21 @@ def run_pipeline(spark: SparkSession, out_dir: str, cfg: PipelineConfig = C.DEFA
 
     with result.phase("gold"):
         result.paths["gold_customer_analytics"] = f"{out_dir}/gold/gold_customer_analytics"
-        gold_checks = write_and_check(GC.gold_customer_analytics(scu, stx, cfg), result.paths["gold_customer_analytics"],
-                                      {"complete": complete("gold_customer_analytics")})
+        whole = {"complete": complete("gold_customer_analytics")}
+        if tables:
+            result.paths["customer_metrics"] = tables.put_metrics(stx)
+            result.paths["gold_customer_analytics"] = tables.path("gold_customer_analytics")
+            gold_checks = write_checked(tables.gold_customer_analytics(),
+                                        lambda rows: tables.put("gold_customer_analytics", rows, placed=True), whole)
+        else:
+            gold_checks = write_and_check(GC.gold_customer_analytics(scu, stx, cfg), result.paths["gold_customer_analytics"], whole)
         result.paths["gold_business_metrics"] = write_table(
             GM.gold_business_metrics(stx, scu, cfg), f"{out_dir}/gold/gold_business_metrics", "metric_type")
         result.paths["gold_cohort_analysis"] = write_table(P.cohort_retention(stx), f"{out_dir}/gold/gold_cohort_analysis")
         result.paths["gold_revenue_attribution"] = write_table(
             P.revenue_attribution(stx, bronze["bronze_customer_events"], tolerant=cfg.tolerant_casts),
             f"{out_dir}/gold/gold_revenue_attribution")
-    gca = spark.read.parquet(result.paths["gold_customer_analytics"])
+    gca = tables.get("gold_customer_analytics") if tables else spark.read.parquet(result.paths["gold_customer_analytics"])
 
     with result.phase("gold_tests"):  # T9
         record("gold_uniqueness", Q.uniqueness(gca, "gold_customer_analytics", ["customer_id"]))
