@@ -8,7 +8,9 @@ JSON.
 * Order: ``level`` is the length of the longest chain of needed calls before a
   call, so (level, position) is a topological order. Levels are found for all
   conversations at once: edges to finished calls are settled, and an edge to a
-  call with a single need jumps over it, which halves chains in every round. A
+  call with a single need jumps over it, which halves chains in every round. Before
+  that, needs that another need of the same call has already are left out, so
+  calls that each need the several before them are a chain too. A
   conversation is never gathered; a chain of n calls takes about log2(n)
   rounds. Calls on or behind a cycle keep a null level.
 * Validation: ``SCHEMAS`` gives each tool's fields with type, whether they are
@@ -29,7 +31,7 @@ results are kept whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -45,12 +47,26 @@ def one_per_id(calls: DataFrame) -> DataFrame:
             .select("call_id", *[F.col(f"first.{c}").alias(c) for c in rest], "duplicates"))
 
 
+def needed(calls: DataFrame) -> DataFrame:
+    """(a, b): call a needs call b, without needs that the next later need of the same call has itself.
+
+    Levels stay: the longest chain never runs over an edge that two others
+    bypass. Of the needs from which a cycle is reached, a call keeps the last by
+    (position, call_id), since what bypasses an edge is later; so a call behind
+    a cycle stays behind one.
+    """
+    edges = calls.select(F.col("call_id").alias("a"), F.explode("needs").alias("b")).where("b is not null").distinct() \
+        .join(calls.select(F.col("call_id").alias("b"), "position"), "b")
+    later = Window.partitionBy("a").orderBy(F.col("position").desc(), F.col("b").desc())  # the needs of one row of calls
+    edges = saved(edges.select("a", "b", F.lag("b").over(later).alias("via")), "needs-all")
+    spared = edges.join(edges.select(F.col("a").alias("via"), "b"), ["via", "b"], "left_semi").select("a", "b")
+    return edges.select("a", "b").join(spared, ["a", "b"], "left_anti")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(call_id, level): longest chain of needed calls before each; null on or behind a cycle."""
     nodes = saved(calls.select("call_id", F.lit(0).cast("long").alias("base"), F.lit(None).cast("long").alias("level")), "calls")
-    edges = calls.select(F.col("call_id").alias("a"), F.explode("needs").alias("b")).where("b is not null").distinct() \
-        .join(nodes.select(F.col("call_id").alias("b")), "b", "left_semi")
-    edges = saved(edges.select("a", "b", F.lit(1).cast("long").alias("w"), F.lit(0).cast("long").alias("kept")), "needs")
+    edges = saved(needed(calls).select("a", "b", F.lit(1).cast("long").alias("w"), F.lit(0).cast("long").alias("kept")), "needs")
     n, before = nodes.count(), None
     while True:
         # what is known of a call: its longest finished chain, and its open need if there is just one

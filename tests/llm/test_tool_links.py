@@ -55,6 +55,31 @@ def test_levels_equal_brute_force(spark):
     assert got == depth(needs)
 
 
+def test_ladders_take_few_rounds(spark, monkeypatch):
+    """Calls that need the two or five before them: a round more when their number doubles, not twice as many."""
+    keep, rounds = T.saved, []
+    monkeypatch.setattr(T, "saved", lambda df, name: (rounds.append(name), keep(df, name))[1])
+    for width, n in ((2, 16), (2, 64), (5, 64)):
+        needs = {f"c{i}": {f"c{j}" for j in range(max(0, i - width), i)} for i in range(n)}
+        rows = [(1, k, int(k[1:]), "none", "{}", [*sorted(v)], "") for k, v in needs.items()]
+        rounds.clear()
+        got = {r.call_id: r.level for r in T.levels(spark.createDataFrame(rows, CALLS)).collect()}
+        assert got == {f"c{i}": i for i in range(n)}
+        assert rounds.count("levels") <= n.bit_length() + 2
+
+
+def test_left_out_needs_keep_levels_and_cycles(spark):
+    """Random graphs with cycles, calls with many needs and equal positions, behind and on cycles."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        needs = {f"k{i}": {f"k{rng.randrange(14)}" if rng.random() < 0.12 else f"k{rng.randrange(i + 1)}" for _ in range(rng.randrange(5))} - {f"k{i}"}
+                 for i in range(14)}
+        needs |= {"y0": {"y1"}, "y1": {"y0"}, "y2": {"y0", "y1", "k0"}}  # both needs of y2 bypass each other
+        rows = [(1, k, rng.choice((None, 0, 1, 2)), "none", "{}", [*sorted(v)], "") for k, v in needs.items()]
+        got = {r.call_id: r.level for r in T.levels(spark.createDataFrame(rows, CALLS)).collect()}
+        assert got == depth(needs)
+
+
 def test_validation_canonical_json_and_odd_rows(spark):
     args = {"ok": '{ "how":"x", "b": 1.5,\n "a":3}', "extra": '{"a":1,"zz":1,"c":2}', "type": '{"a":"1"}', "small": '{"a":-1}', "missing": '{"b":2}',
             "enum": '{"a":1,"how":"q"}', "broken": '{"a":', "list": "[1]", "null": None, "long": json.dumps({"a": 1, "how": "x" * 200_000})}
