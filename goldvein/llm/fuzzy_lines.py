@@ -10,9 +10,8 @@ more. Of each connected group of lines only the first occurrence stays, by
 * Equal normal forms are one node, named by a 64-bit hash, before anything is
   compared: a line that fills a third of the corpus is one row.
 * SimHash counters: over parts of ``PART`` distinct words, the hashes' 64 bits are added
-  up in eight longs of eight one-byte counters each, so a hash aggregation
-  with map-side sums makes all majorities; only lines of several parts go
-  through a second one with wider counters.
+  up in eight longs of eight one-byte counters each, inside the line's row;
+  lines of several parts add those up in wider counters.
 * Pigeonhole: the 64 bits are cut into ``MAX_BITS + 2`` blocks; codes within
   ``MAX_BITS`` bits agree on at least two whole blocks, so lines meet on each
   pair of blocks (about 18 bits). SimHashes travel with the rows and are
@@ -21,7 +20,8 @@ more. Of each connected group of lines only the first occurrence stays, by
   verified against the smallest (a star, not all pairs): that joins up groups
   of many near copies. Then, over every pair of blocks, members that are not
   connected by now are compared with each other, so no two lines within both
-  limits end in different groups.
+  limits end in different groups. Here a code of a group is one row, however
+  many lines of the group have it; near codes are then traced to their lines.
 
 Defined cases: null text has no lines; a line without letters or digits is
 never a duplicate and stays; repeated rows (one doc_id, one text) are the same
@@ -54,46 +54,48 @@ def normal(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, version, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0.
+    """(doc_id, version, line_no, id, norm) of every line with a letter or digit; line_no counts all lines from 0.
 
     version: a hash of the text, which tells unlike rows of one doc_id apart.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.xxhash64(F.col(text_col).cast("string")).alias("version"),
                        F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
     norm = normal(F.col("line")).alias("norm")
-    return rows.select("row", "doc_id", "version", "line_no", norm).where("norm <> ''") \
-        .select("row", "doc_id", "version", "line_no", F.xxhash64("norm").alias("id"), "norm")
+    return rows.select("doc_id", "version", "line_no", norm).where("norm <> ''") \
+        .select("doc_id", "version", "line_no", F.xxhash64("norm").alias("id"), "norm")
 
 
 def _majorities(ones: list[Column], n: Column) -> Column:
     """The 64-bit code whose bit b is set if ``ones[b]`` is over half of n."""
     code = None
     for b, count in enumerate(ones):
-        bit = F.when(2 * count > n, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long"))
+        bit = F.shiftleft(F.shiftrightunsigned(n.cast("long") - 2 * count, 63), b)  # the sign
         code = bit if code is None else code.bitwiseOR(bit)
     return code
 
 
+def _counted(hashes: Column) -> Column:
+    """Eight longs of eight one-byte counters each: how many of at most ``PART`` hashes have each bit."""
+    zero = F.struct(*[F.lit(0).cast("long").alias(f"s{j}") for j in range(8)])
+    low = F.lit(0x0101010101010101)
+    return F.aggregate(hashes, zero, lambda sums, h: F.struct(*[
+        (sums[f"s{j}"] + F.shiftrightunsigned(h, j).bitwiseAND(low)).alias(f"s{j}") for j in range(8)]))
+
+
 def simhashes(table: DataFrame) -> DataFrame:
-    """(doc_id, version, line_no, id, sim) of every line of ``lines``."""
-    key = ["row", "doc_id", "version", "line_no", "id"]
-    words = table.select(*key, F.array_distinct(F.split("norm", " ")).alias("words"))
-    words = words.select(*key, (F.size("words") > PART).alias("long"), F.posexplode("words").alias("at", "word"))
-    h = F.xxhash64("word")
-    parts = words.groupBy(*key, "long", F.floor(F.col("at") / PART).cast("int").alias("part")).agg(F.count("*").alias("n"), *[
-        F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(0x0101010101010101))).alias(f"s{j}") for j in range(8)])
-    ones = lambda of: [F.shiftrightunsigned(of(b % 8), b - b % 8).bitwiseAND(F.lit(255)) for b in range(64)]
-    sums = F.array(*[F.col(f"s{j}") for j in range(8)])
-    parts = saved(parts.select(*key, "n", F.when(~F.col("long"), _majorities(ones(lambda j: F.col(f"s{j}")), F.col("n"))).alias("sim"),
-                               F.when(F.col("long"), sums).alias("sums")), "line-parts")
-    # lines of several parts: counters of 32 bits, two in a long
-    one = ones(lambda j: F.element_at("sums", j + 1))
-    wide = parts.where("sums is not null").groupBy(*key).agg(F.sum("n").alias("n"), *[
-        F.sum(one[b].bitwiseOR(F.shiftleft(one[b + 32], 32))).alias(f"w{b}") for b in range(32)])
-    total = [F.col(f"w{b}").bitwiseAND(F.lit(0xFFFFFFFF)) for b in range(32)] + [F.shiftrightunsigned(f"w{b}", 32) for b in range(32)]
-    return parts.where("sums is null").select("doc_id", "version", "line_no", "id", "sim") \
-        .unionByName(wide.select("doc_id", "version", "line_no", "id", _majorities(total, F.col("n")).alias("sim")))
+    """``lines`` with sim, the SimHash of every line; each line by itself, without a shuffle."""
+    key = ["doc_id", "version", "line_no", "id", "norm"]
+    hashed = table.select(*key, F.transform(F.array_distinct(F.split("norm", " ")), lambda word: F.xxhash64(word)).alias("hashes"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("hashes") - 1) / PART).cast("int")),
+                        lambda at: _counted(F.slice(F.col("hashes"), at * PART + 1, PART)))
+    summed = hashed.select(*key, F.size("hashes").alias("n"), parts.alias("parts"))
+    one = lambda sums, b: F.shiftrightunsigned(sums[f"s{b % 8}"], b - b % 8).bitwiseAND(F.lit(255))
+    added = lambda b: F.aggregate("parts", F.lit(0).cast("long"), lambda total, sums: total + one(sums, b))
+    first = summed.select(*key, "n", "parts", F.get("parts", F.lit(0)).alias("first"))
+    sim = F.when(F.col("n") <= PART, _majorities([one(F.col("first"), b) for b in range(64)], F.col("n"))) \
+        .otherwise(_majorities([added(b) for b in range(64)], F.col("n")))
+    return first.select(*key, sim.alias("sim"))
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -156,21 +158,24 @@ def line_links(found: DataFrame, table: DataFrame, max_bits: int = MAX_BITS, sim
     rooted = sims.join(components(near, "a", "b").withColumnRenamed("node", "id"), "id", "left") \
         .select("id", "sim", F.coalesce("root", "id").alias("root"))
     rooted = saved(rooted, "line-roots")
+    codes = saved(rooted.select("sim", "root").distinct(), "line-codes")
     cross = []
     for at in range(0, len(masks), MASKS_AT_ONCE):  # bounds what is shuffled at a time
-        keyed = _keyed(rooted, masks[at:at + MASKS_AT_ONCE])
-        other = keyed.select("key", *[F.col(c).alias(f"other_{c}") for c in rooted.columns])
-        pairs = keyed.join(other, "key").where((F.col("root") < F.col("other_root")) & _near("sim", "other_sim", max_bits))
-        cross.append(saved(pairs.select(*_pair(F.col("id"), F.col("other_id"))).distinct(), "line-pairs"))
-    rest = saved(reduce(DataFrame.unionByName, cross).distinct().join(first, ["a", "b"], "left_anti"), "line-candidates")
+        keyed = _keyed(codes, masks[at:at + MASKS_AT_ONCE])
+        a, b = keyed.alias("a"), keyed.alias("b")  # one plan twice, so it is shuffled once
+        pairs = a.join(b, F.col("a.key") == F.col("b.key")).where((F.col("a.root") < F.col("b.root")) & _near("a.sim", "b.sim", max_bits))
+        cross.append(saved(pairs.select(*[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in codes.columns]).distinct(), "line-pairs"))
+    met = saved(reduce(DataFrame.unionByName, cross).distinct(), "line-met")
+    of = lambda x: rooted.select(*[F.col(c).alias(f"{x}_{c}") for c in rooted.columns])
+    pairs = met.join(of("a"), ["a_sim", "a_root"]).join(of("b"), ["b_sim", "b_root"])
+    rest = saved(pairs.select(*_pair(F.col("a_id"), F.col("b_id"))).distinct().join(first, ["a", "b"], "left_anti"), "line-candidates")
     return near.unionByName(_alike(rest, _texts(rest, table), similarity).where("alike").select("a", "b"))
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, max_bits: int = MAX_BITS, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, version, line_no, first_doc_id, first_line_no, kept) of every line that has a letter or digit."""
-    table = lines(docs, id_col, text_col)
-    found = saved(simhashes(table), "lines")
-    links = line_links(found, table, max_bits, similarity)
+    found = saved(simhashes(lines(docs, id_col, text_col)), "lines")
+    links = line_links(found.select("id", "sim"), found.select("id", "norm"), max_bits, similarity)
     groups = components(links, "a", "b").select(F.col("node").alias("id"), F.col("root").alias("group"))
     found = found.select("doc_id", "version", "line_no", "id").join(groups, "id", "left") \
         .select("doc_id", "version", "line_no", F.coalesce("group", "id").alias("group"))
