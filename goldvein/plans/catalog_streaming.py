@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..schemas import CUSTOMER_EVENT, SYSTEM_LOG, TRANSACTION_EVENT
 from ..session import scratch_path
-from ..sources.landing import to_envelope, write_landing
+from ..sources import landing as S
+from ..sources.landing import to_envelope
 from ..streaming import compaction
 from ..streaming import ingest as I
 from ..streaming import once as O
@@ -25,6 +26,11 @@ def _fields(schema) -> str:
     return ", ".join(f.name for f in schema.fields)
 
 
+def write_landing(envelopes, path: str) -> None:
+    """Landed records are written once and read once: compressed."""
+    S.write_landing(envelopes, path, compression="gzip")
+
+
 def _land(layers, bronze_df, schema, deliveries: int = 1) -> str:
     path = scratch_path(layers.spark, "landing")
     env = to_envelope(bronze_df, schema)

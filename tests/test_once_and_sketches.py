@@ -76,3 +76,15 @@ def test_latency_of_merged_hours(spark):
     found = {r.service: r for r in P.latency_by_day(P.latency_sketches(logs)).collect()}
     assert found["s"].requests == 4800 and (found["t"].requests, found["t"].latencies) == (1, None)
     assert all(abs(v - q * 200) <= 2 * 0.0165 * 200 + 1 for v, q in zip(found["s"].latencies, (0.5, 0.95, 0.99)))
+
+
+def test_landed_records_are_small_and_read_the_same(spark, tmp_dir):
+    import os
+    from goldvein.plans import catalog_streaming as Q
+    env = to_envelope(events(spark, [f"e{i}" for i in range(3000)]), CUSTOMER_EVENT)
+    write_landing(env, f"{tmp_dir}/plain", 1)
+    Q.write_landing(env, f"{tmp_dir}/landing")
+    size = lambda d: sum(os.path.getsize(f"{tmp_dir}/{d}/{f}") for f in os.listdir(f"{tmp_dir}/{d}"))
+    assert size("landing") < size("plain") / 3
+    O.ingest_once(spark, f"{tmp_dir}/landing", CUSTOMER_EVENT, f"{tmp_dir}/t", f"{tmp_dir}/c", CFG)
+    assert written(spark, f"{tmp_dir}/t") == sorted((f"e{i}", "view") for i in range(3000))
