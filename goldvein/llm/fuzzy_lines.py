@@ -126,11 +126,15 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         .join(texts.select(F.col("id").alias("b"), F.col("norm").alias("_tb")), "b")
     longer = F.greatest(F.length("_ta"), F.length("_tb"))
     most = F.floor((1 - F.lit(similarity)) * longer + F.lit(1e-9)).cast("int")
-    # narrow bands first: nearly equal long lines are settled at little cost
-    within = F.expr("levenshtein(_ta, _tb, least(_most, 64)) >= 0 or levenshtein(_ta, _tb, least(_most, 1024)) >= 0 "
-                    "or levenshtein(_ta, _tb, _most) >= 0")
+    # edits that are enough in any case: unlike words at one place are rewritten, surplus ones (with their space) added
+    enough = F.expr("aggregate(zip_with(split(_ta, ' '), split(_tb, ' '), (x, y) -> "
+                    "if(x <=> y, 0, greatest(length(x), length(y)) + if(x is null or y is null, 1, 0))), 0, (sum, n) -> sum + n)")
+    # narrow bands first: nearly equal long lines are settled at little cost; no band is tried twice
+    within = F.expr("levenshtein(_ta, _tb, least(_most, 64)) >= 0 or (_most > 64 and levenshtein(_ta, _tb, least(_most, 1024)) >= 0) "
+                    "or (_most > 1024 and levenshtein(_ta, _tb, _most) >= 0)")
     shorter = F.least(F.length("_ta"), F.length("_tb"))
-    return both.withColumn("_most", most).select("a", "b", F.when(longer - shorter > F.col("_most"), False).otherwise(within).alias("alike"))
+    return both.withColumn("_most", most).select("a", "b", F.when(longer - shorter > F.col("_most"), False)
+                                                 .when(enough <= F.col("_most"), True).otherwise(within).alias("alike"))
 
 
 def _texts(pairs: DataFrame, table: DataFrame) -> DataFrame:

@@ -135,3 +135,28 @@ def test_one_changed_word_is_found(spark):
 def test_punctuation_and_spaces_do_not_count(spark):
     rows = got(spark, [(1, "Two words."), (2, "two  words"), (3, "Two, words!"), (4, "two word s")])
     assert [rows[d, 0][2] for d in (1, 2, 3, 4)] == [True, False, False, True]
+
+
+def test_edits_are_judged_exactly(spark):
+    # replaced, added and removed words, at the limit of edits and one beyond it
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(150):
+        a = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 40))]
+        b = list(a)
+        for _ in range(rng.randrange(1, 9)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9)))] * rng.randrange(2)
+        pairs.append((" ".join(a), " ".join(b) or "x"))
+    texts = spark.createDataFrame([(2 * n + m, t) for n, p in enumerate(pairs) for m, t in enumerate(p)], "id long, norm string")
+    both = spark.createDataFrame([(2 * n, 2 * n + 1) for n in range(len(pairs))], "a long, b long")
+    got = {r.a // 2: r.alike for r in L._alike(both, texts, 0.8).collect()}
+    want = {n: edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9) for n, (a, b) in enumerate(pairs)}
+    assert got == want and 20 < sum(want.values()) < 130
+
+
+def test_no_band_of_edits_is_tried_twice(spark):
+    # short lines that aren't alike: the widest band is the first one
+    pairs, texts = spark.createDataFrame([(1, 2)], "a long, b long"), spark.createDataFrame([(1, "a b"), (2, "c d")], "id long, norm string")
+    plan = L._alike(pairs, texts, 0.8)._jdf.queryExecution().analyzed().toString()
+    assert "> 64" in plan and "> 1024" in plan and "zip_with" in plan
