@@ -48,7 +48,7 @@ def write_batch(rows: DataFrame, batch: int, table_root: str, cfg: PipelineConfi
     Rejected records have no event id; their key is the hash of the raw record.
     """
     spark = rows.sparkSession
-    new = rows.dropDuplicates(list(KEY))
+    new = rows
     path = f"{table_root}/{KEYS}"
     if path_exists(spark, path):
         known = spark.read.schema(KEY_SCHEMA).parquet(path).where(F.col("batch") < batch)
@@ -58,6 +58,7 @@ def write_batch(rows: DataFrame, batch: int, table_root: str, cfg: PipelineConfi
         again = known.select(*KEY).alias("k").join(new.select(*KEY).alias("b"), same, "left_semi").distinct()
         same = F.col("k.event_id").eqNullSafe(F.col("b.event_id")) & (F.col(f"k.{I.PAYLOAD_HASH}") == F.col(f"b.{I.PAYLOAD_HASH}"))
         new = new.alias("b").join(again.alias("k"), same, "left_anti")
+    new = new.dropDuplicates(list(KEY))  # last: what is already known isn't shuffled again
     # the batch's folder is there even if nothing new came, so that a rerun replaces it
     number = F.lit(batch).cast("long")
     _overwrite(new.drop(I.PAYLOAD_HASH).withColumn("batch", number), f"{table_root}/{I.ONCE}", "batch", I.RECORD_STATUS)
