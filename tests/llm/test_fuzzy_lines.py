@@ -160,3 +160,31 @@ def test_no_band_of_edits_is_tried_twice(spark):
     pairs, texts = spark.createDataFrame([(1, 2)], "a long, b long"), spark.createDataFrame([(1, "a b"), (2, "c d")], "id long, norm string")
     plan = L._alike(pairs, texts, 0.8)._jdf.queryExecution().analyzed().toString()
     assert "> 64" in plan and "> 1024" in plan and "zip_with" in plan
+
+
+def test_simhash_at_block_limits(spark):
+    # lines of as many distinct words as fill a block, all blocks or a part, and one word less or more
+    sizes = [1, 2, 3, 31, 32, 33, 64, 127, 128, 129, 254, 255, 256, 257, 258, 381, 382, 600]
+    texts = {n: " ".join(f"w{(i * 7919 + n * 31) % 10 ** 6}" for i in range(n)) for n in sizes}
+    texts |= {1000 + n: f"{texts[n]} {texts[n]}" for n in (2, 33, 256)}  # repeats count once
+    sims = L.simhashes(L.lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    got = {r.doc_id: r.sim % 2 ** 64 for r in sims.select("doc_id", "sim").collect()}
+    assert got == {d: simhash(t) for d, t in texts.items()}
+
+
+def test_words_of_usual_lines_are_not_looped_over(spark):
+    # one interpreted loop over words that hashes them; counting loops only over the parts of very long lines
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = L.simhashes(L.lines(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert f"> {L.BLOCK * L.BLOCKS})" in plan and "^" in plan
+    # the filter of lines doesn't hold the normal form, which would be computed twice
+    assert not any("regexp_replace" in x for x in plan.split("\n") if x.strip(" :+-").startswith("Filter"))
+
+
+def test_equal_ends_are_left_out_of_edits(spark):
+    texts = spark.createDataFrame([(1, "x"), (2, "x y"), (3, "a b c d e f g h x i j"), (4, "a b c d e f g h i j"), (5, "b a b"), (6, "b")], "id long, norm string")
+    pairs = [(1, 2), (3, 4), (5, 6)]
+    got = {(r.a, r.b): r.alike for r in L._alike(spark.createDataFrame(pairs, "a long, b long"), texts, 0.8).collect()}
+    assert got == {(1, 2): False, (3, 4): True, (5, 6): False}
+    plan = L._alike(spark.createDataFrame(pairs, "a long, b long"), texts, 0.8)._jdf.queryExecution().analyzed().toString()
+    assert "array_position" in plan and "least(_most" in plan
